@@ -16,7 +16,8 @@ DT = "2024-01-31"
 # logins before this day are already in the stored state
 STATE_CUT_MS = 1_704_844_800_000
 
-SPARK_MS = "unix_micros(CAST(ts AS TIMESTAMP)) div 1000"
+# independent of the session time zone
+SPARK_MS = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts) div 1000"
 DUCKDB_MS = "epoch_us(ts) // 1000"
 
 PROMO = (

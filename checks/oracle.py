@@ -414,10 +414,7 @@ NEWS_SELECT = (
     "count(*) AS pv, count(DISTINCT guid) AS uv"
 )
 add("news_pv_daily", f"\nSELECT {NEWS_SELECT} FROM {NEWS_ROWS} GROUP BY pageid", "pv_log")
-LOG_HOUR = (
-    "concat(strftime(make_timestamp(CAST(ts AS BIGINT) * 1000), '%Y-%m-%d'), '.', "
-    "CAST(hour(make_timestamp(CAST(ts AS BIGINT) * 1000)) AS VARCHAR))"
-)
+LOG_HOUR = f"concat('{DT}.', CAST((CAST(ts AS BIGINT) // 3600000) % 24 AS VARCHAR))"
 add(
     "news_pv_hourly",
     f"\nSELECT {LOG_HOUR} AS log, {NEWS_SELECT} FROM {NEWS_ROWS} AND {COMPLETE} GROUP BY 1, pageid",

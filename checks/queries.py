@@ -273,8 +273,8 @@ def news_pv_daily(spark, sf_dir):
 @query
 def news_pv_hourly(spark, sf_dir):
     root = shared_path(spark, "news_pv_hourly")
-    time = F.timestamp_millis(F.col("ts").cast("bigint"))
-    hour_file = F.concat_ws(".", F.date_format(time, "yyyy-MM-dd"), F.hour(time).cast("string"))
+    # one file per hour of the day, named <dt>.<hour>
+    hour_file = F.expr(f"concat('{DT}.', (CAST(ts AS BIGINT) div 3600000) % 24)")
     lines = spark_lines(spark, sf_dir, "pv_log").withColumn("log", hour_file)
     (lines.repartitionByRange("log", "event_id").select("log", "value")
      .write.partitionBy("log").text(root))

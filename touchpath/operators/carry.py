@@ -47,9 +47,13 @@ def carried_in(slot_value: Column) -> Column:
     return F.last(slot_value, ignorenulls=True).over(earlier)
 
 
-def carry_within_slots(rows: DataFrame, *order: str) -> DataFrame:
-    """Step 1 for the column ``assigned``: adds ``here``, ``slot_last`` and ``opens_slot``."""
-    window = slot_window("ts", *order)
+def carry_within_slots(rows: DataFrame) -> DataFrame:
+    """Step 1 for the column ``assigned``: adds ``here``, ``slot_last`` and ``opens_slot``.
+
+    Events with equal times are ordered by what they assign, so that the result does not
+    depend on the order of the input.
+    """
+    window = slot_window("ts", "assigned")
     return rows.select(
         "*",
         last_so_far(F.col("assigned"), window).alias("here"),
@@ -63,15 +67,18 @@ def carry_across_slots(parts: DataFrame) -> DataFrame:
     return parts.withColumn("carried", carried_in(F.col("slot_last")))
 
 
-def attribute_rows(rows: DataFrame, default: str, *order: str) -> DataFrame:
+def summarize_slots(rows: DataFrame) -> DataFrame:
+    """``slot_last`` per (visitor, slot) by aggregation, which combines before its shuffle."""
+    last = F.max(F.when(F.col("assigned").isNotNull(), F.struct("ts", "assigned")))
+    return rows.groupBy("guid", "slot").agg(last["assigned"].alias("slot_last"))
+
+
+def attribute_rows(rows: DataFrame, default: str) -> DataFrame:
     """Row-level result: every row with its ``channel``.
 
     The slot summary (one row per visitor and slot) is joined back on
     (visitor, slot), the partitioning the rows already have.
     """
-    local = carry_within_slots(rows, *order)
-    carried = carry_across_slots(
-        local.where("opens_slot").select("guid", "slot", "slot_last")
-    ).select("guid", "slot", "carried")
-    joined = local.join(carried, ["guid", "slot"], "left")
+    carried = carry_across_slots(summarize_slots(rows)).select("guid", "slot", "carried")
+    joined = carry_within_slots(rows).join(carried, ["guid", "slot"], "left")
     return joined.withColumn("channel", F.coalesce("here", "carried", F.lit(default)))

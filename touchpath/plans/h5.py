@@ -86,14 +86,14 @@ def _rows(views: DataFrame, site: c.Site, slot_ms: int, keep: tuple[str, ...]) -
 def attribute(views: DataFrame, site: c.Site = c.DEFAULT_SITE, keep: tuple[str, ...] = (),
               slot_ms: int = SLOT_MS) -> DataFrame:
     """Channel of every H5 page view, with the ``keep`` columns."""
-    rows = attribute_rows(_rows(views, site, slot_ms, keep), c.DIRECT, "assigned")
+    rows = attribute_rows(_rows(views, site, slot_ms, keep), c.DIRECT)
     return rows.select("guid", "ts", *keep, "channel")
 
 
 def visitor_channels(views: DataFrame, site: c.Site = c.DEFAULT_SITE,
                      slot_ms: int = SLOT_MS) -> DataFrame:
     """Page views, entries and funnel steps per visitor, slot and channel."""
-    local = carry_within_slots(_rows(views, site, slot_ms, ("step",)), "assigned")
+    local = carry_within_slots(_rows(views, site, slot_ms, ("step",)))
     steps = [F.count_if(F.col("step") == step).alias(step) for step in STEPS]
     parts = local.groupBy("guid", "slot", "slot_last", "here", "opens_slot").agg(
         F.count(F.lit(1)).alias("n"), F.count("assigned").alias("entered"), *steps

@@ -146,12 +146,12 @@ def anomalies(views: DataFrame, site: c.Site = c.DEFAULT_SITE) -> DataFrame:
     )
 
 
-def _within_slots(classified: DataFrame, keep: tuple[str, ...], slot_ms: int) -> DataFrame:
-    rows = with_slot(
-        classified.where(F.col("kind") != "S")
-        .select("guid", "ts", "kind", "assigned", *keep),
-        slot_ms,
-    )
+def _slotted(classified: DataFrame, keep: tuple[str, ...], slot_ms: int) -> DataFrame:
+    rows = classified.where(F.col("kind") != "S")
+    return with_slot(rows.select("guid", "ts", "kind", "assigned", *keep), slot_ms)
+
+
+def _within_slots(rows: DataFrame) -> DataFrame:
     window = slot_window("ts", "kind", "assigned")
     is_direct = F.col("kind") == "D"
     rows = rows.withColumn(
@@ -173,6 +173,25 @@ def _within_slots(classified: DataFrame, keep: tuple[str, ...], slot_ms: int) ->
 _SLOT_COLUMNS = ("guid", "slot", "slot_last", "slot_last_direct", "slot_has_direct")
 
 
+def _summarize_slots(rows: DataFrame) -> DataFrame:
+    """The slot columns by aggregation, for the row-level result: one row per slot."""
+    at = F.struct("ts", "kind", "assigned")
+    found = rows.groupBy("guid", "slot").agg(
+        F.min(at)["kind"].alias("kind"),
+        F.max(F.when(F.col("kind") == "A", at)).alias("last_assigning"),
+        F.min(F.when(F.col("kind") == "D", at)).alias("first_direct"),
+    )
+    assigning, direct = F.col("last_assigning"), F.col("first_direct")
+    last = assigning["assigned"]
+    with_direct = F.when(F.coalesce(direct > assigning, direct.isNotNull()), c.DIRECT)
+    return found.select(
+        "guid", "slot", "kind", F.lit(True).alias("opens_slot"),
+        last.alias("slot_last"),
+        F.coalesce(with_direct, last).alias("slot_last_direct"),
+        direct.isNotNull().alias("slot_has_direct"),
+    )
+
+
 def _across_slots(parts: DataFrame) -> DataFrame:
     """Add ``direct_assigns``, ``carried``, ``fallback`` to rows that include each slot's opener."""
     visitor = Window.partitionBy("guid")
@@ -208,17 +227,17 @@ def _channel() -> Column:
 def attribute(views: DataFrame, site: c.Site = c.DEFAULT_SITE, keep: tuple[str, ...] = (),
               slot_ms: int = SLOT_MS) -> DataFrame:
     """Channel of every page view (ignored rows left out), with the ``keep`` columns."""
-    local = _within_slots(classify(views, site), keep, slot_ms)
-    slots = _across_slots(local.where("opens_slot").select(*_SLOT_COLUMNS, "kind", "opens_slot"))
+    slotted = _slotted(classify(views, site), keep, slot_ms)
+    slots = _across_slots(_summarize_slots(slotted))
     slots = slots.select("guid", "slot", "direct_assigns", "carried")
-    rows = local.join(slots, ["guid", "slot"], "left")
+    rows = _within_slots(slotted).join(slots, ["guid", "slot"], "left")
     return rows.select("guid", "ts", *keep, "kind", _channel().alias("channel"))
 
 
 def visitor_channels(views: DataFrame, site: c.Site = c.DEFAULT_SITE,
                      slot_ms: int = SLOT_MS) -> DataFrame:
     """Page views per visitor and channel situation, with everything the report counts."""
-    local = _within_slots(classify(views, site), ("entry", "simu"), slot_ms)
+    local = _within_slots(_slotted(classify(views, site), ("entry", "simu"), slot_ms))
     parts = local.groupBy(
         *_SLOT_COLUMNS, "opens_slot", "kind", "entry", "here", "here_direct"
     ).agg(F.count(F.lit(1)).alias("n"), F.count_if("simu").alias("simu"))

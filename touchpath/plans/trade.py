@@ -77,13 +77,13 @@ def _rows(events: DataFrame, slot_ms: int, keep: tuple[str, ...]) -> DataFrame:
 
 def attribute(events: DataFrame, keep: tuple[str, ...] = (), slot_ms: int = SLOT_MS) -> DataFrame:
     """Channel of every trade event, with the ``keep`` columns."""
-    rows = attribute_rows(_rows(events, slot_ms, keep), c.DIRECT, "assigned")
+    rows = attribute_rows(_rows(events, slot_ms, keep), c.DIRECT)
     return rows.select("guid", "ts", *keep, "channel")
 
 
 def visitor_channels(events: DataFrame, slot_ms: int = SLOT_MS) -> DataFrame:
     """Trades, amount, bindings and openings per visitor, slot and channel."""
-    local = carry_within_slots(_rows(events, slot_ms, ("type", "amt")), "assigned")
+    local = carry_within_slots(_rows(events, slot_ms, ("type", "amt")))
     kind = F.col("type")
     is_trade = is_trade_action(kind)
     parts = local.groupBy("guid", "slot", "slot_last", "here").agg(
