@@ -19,7 +19,6 @@ def host(url: Column) -> Column:
 def is_uri(url: Column) -> Column:
     """True when the text follows the URI syntax (even without a host)."""
     return F.coalesce(
-        host(url),
         F.try_parse_url(url, F.lit("PROTOCOL")),
         F.try_parse_url(url, F.lit("PATH")),
     ).isNotNull()

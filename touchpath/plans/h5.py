@@ -62,18 +62,19 @@ def classify(views: DataFrame, site: c.Site = c.DEFAULT_SITE) -> DataFrame:
         "level0": F.coalesce(parts["level"] == "0", F.lit(False)),
         "body": parts["body"],
         "no_ref": is_blank(col("srcurl"), True),
-        "ref_host": host(col("srcurl")),
     })
     level0 = col("htag_valid") & col("level0")
-    external = ~col("srcurl").rlike(site.internal)
+    by_ref = ~level0 & ~col("no_ref") & (
+        col("htag_valid") | ~col("srcurl").rlike(site.internal)
+    )
+    rows = rows.withColumn("by_ref", by_ref).withColumn(
+        "ref_host", F.when(col("by_ref"), host(col("srcurl")))
+    )
     assigned = (
         F.when(level0 & is_promo_tag(col("body")), col("body"))
         .when(level0, F.lit(None).cast("string"))
         .when(col("no_ref"), c.DIRECT)
-        .when(
-            col("htag_valid") | external,
-            F.coalesce(channel_of_host(col("ref_host")), F.lit(c.OTHER)),
-        )
+        .when(col("by_ref"), F.coalesce(channel_of_host(col("ref_host")), F.lit(c.OTHER)))
     )
     step = F.when(~is_blank(col("pageid"), True), funnel_step(col("pageid")))
     return rows.withColumns({"assigned": assigned, "step": step})
@@ -104,13 +105,17 @@ def visitor_channels(views: DataFrame, site: c.Site = c.DEFAULT_SITE,
     )
     # the visitor's very first view falls back to DIRECT when it assigns nothing
     fallback = (F.col("opens_visit") & F.col("here").isNull()).cast("bigint")
-    return parts.select(
+    resolved = parts.select(
         "guid",
         F.coalesce("here", "carried", F.lit(c.DIRECT)).alias("channel"),
         "n",
         (F.col("entered") + fallback).alias("entered"),
         *STEPS,
     )
+    # still inside the visitor's partition: few rows are left to be spread over the codes
+    return resolved.groupBy("guid", "channel").agg(
+        *[F.sum(name).alias(name) for name in ("n", "entered", *STEPS)]
+    )
 
 
 def view_measures(visits: DataFrame) -> DataFrame:

@@ -46,6 +46,9 @@ from touchpath.operators.carry import (
 from touchpath.sources.logs import PAGE_VIEW
 
 
+FULL, CODE, GROUP, PORTAL = "full", "code", "group", "portal"
+
+
 def visitor_invalid(ignore_case: bool = False) -> Column:
     """Visitor id and time must be there, the id must start with ``0x``."""
     guid, ts = F.col("guid"), F.col("ts")
@@ -82,65 +85,59 @@ def rejects(rows: DataFrame, site: c.Site = c.DEFAULT_SITE) -> DataFrame:
     return q.count_outcomes(check(rows, site), kept_bad)
 
 
-def _row_traits(site: c.Site) -> dict[str, Column]:
-    src, htag = F.col("srcurl"), F.col("htag")
+def classify(views: DataFrame, site: c.Site = c.DEFAULT_SITE) -> DataFrame:
+    """Add ``kind``, ``assigned`` (channel of ``A`` rows), ``entry`` and ``simu``.
+
+    ``entry`` tells which entry counters a row raises: ``full`` the channel levels and the
+    group, ``code`` the channel only, ``group`` the group only. Referrers are parsed only
+    where they decide the channel, once per row.
+    """
+    col, src, htag = F.col, F.col("srcurl"), F.col("htag")
     parts = htag_parts(htag)
-    return {
+    rows = views.withColumns({
         "has_htag": ~is_blank(htag),
         "htag_valid": parts["valid"] & ~is_blank(htag),
         "level0": F.coalesce(parts["level"] == "0", F.lit(False)),
         "body": parts["body"],
         "no_ref": is_blank(src),
-        "internal": src.rlike(site.internal),
-        "ref_host": host(src),
-        "ref_ok": is_uri(src),
-    }
-
-
-def classify(views: DataFrame, site: c.Site = c.DEFAULT_SITE) -> DataFrame:
-    """Add ``kind``, ``assigned`` (channel of ``A`` rows), ``entry`` and ``simu``.
-
-    ``entry`` tells which entry counters an assigning row raises: ``full`` the channel
-    levels and the group, ``code`` the channel only, ``group`` the group only.
-    """
-    col = F.col
-    # the host is its own column: it is parsed once and tested against every listed domain
-    rows = views.withColumns(_row_traits(site)).withColumn(
-        "refchan", channel_of_host(col("ref_host"))
-    )
-    promo = col("htag_valid") & col("level0") & is_promo_tag(col("body"))
+    }).withColumns({
+        "internal": ~col("no_ref") & src.rlike(site.internal),
+        "promo": col("htag_valid") & col("level0") & is_promo_tag(col("body")),
+    })
     kind = (
-        F.when(col("htag_valid") & ~col("no_ref") & col("internal"), "C")
-        .when(promo, "A")
+        F.when(col("htag_valid") & col("internal"), "C")
+        .when(col("promo"), "A")
         .when(col("htag_valid") & col("level0"), "S")
         .when(col("has_htag") & col("no_ref"), "D")
         .when(col("no_ref") | col("internal"), "C")
         .otherwise("A")
     )
-    rows = rows.withColumns({"promo": promo, "kind": kind})
-    assigned = F.when(
-        col("kind") == "A",
-        F.when(col("promo"), col("body")).otherwise(F.coalesce("refchan", F.lit(c.OTHER))),
-    )
-    entry = (
-        F.when(col("kind") == "D", "full")
-        .when(col("kind") != "A", F.lit(None).cast("string"))
-        .when(col("promo") | col("ref_ok"), "full")
-        .when(col("has_htag") & ~col("htag_valid"), "code")
-        .otherwise("group")
-    )
-    simu = ~is_blank(col("pageid")) & is_private_fund_page(col("pageid"))
-    return rows.withColumns({"assigned": assigned, "entry": entry, "simu": simu})
+    rows = rows.withColumn("kind", kind).withColumn(
+        "by_ref", (col("kind") == "A") & ~col("promo")
+    ).withColumn("ref_host", F.when(col("by_ref"), host(src)))
+    ref_ok = col("ref_host").isNotNull() | F.when(col("by_ref"), is_uri(src))
+    refchan = F.coalesce(channel_of_host(col("ref_host")), F.lit(c.OTHER))
+    rows = rows.withColumn("ref_ok", ref_ok)
+    return rows.withColumns({
+        "assigned": F.when(col("by_ref"), refchan).when(col("kind") == "A", col("body")),
+        "entry": (
+            F.when((col("kind") == "D") | (col("kind") == "A") & col("promo"), FULL)
+            .when(~col("by_ref"), F.lit(None).cast("string"))
+            .when(col("ref_ok"), FULL)
+            .when(col("has_htag") & ~col("htag_valid"), CODE)
+            .otherwise(GROUP)
+        ),
+        "simu": ~is_blank(col("pageid")) & is_private_fund_page(col("pageid")),
+    })
 
 
 def anomalies(views: DataFrame, site: c.Site = c.DEFAULT_SITE) -> DataFrame:
     """Counts of odd rows among the valid page views, in one pass."""
     rows = classify(views, site)
     col = F.col
-    assigns_by_ref = (col("kind") == "A") & ~col("promo")
     return rows.agg(
         F.count_if(col("has_htag") & ~col("htag_valid")).alias("bad_htag"),
-        F.count_if(assigns_by_ref & ~col("ref_ok")).alias("bad_referrer"),
+        F.count_if(col("by_ref") & ~col("ref_ok")).alias("bad_referrer"),
         F.count_if(col("htag_valid") & ~col("level0") & col("no_ref")).alias("htag_without_ref"),
         F.count_if(col("kind") == "S").alias("level0_not_promo"),
     )
@@ -236,49 +233,58 @@ def attribute(views: DataFrame, site: c.Site = c.DEFAULT_SITE, keep: tuple[str,
 
 def visitor_channels(views: DataFrame, site: c.Site = c.DEFAULT_SITE,
                      slot_ms: int = SLOT_MS) -> DataFrame:
-    """Page views per visitor and channel situation, with everything the report counts."""
+    """Page views, private-fund views and entries per visitor, channel and scope.
+
+    The scope tells which codes a count goes to: ``full`` the channel's levels, its group
+    and the total, ``code`` the channel only, ``group`` the group and the total,
+    ``portal`` views that only count on request.
+    """
     local = _within_slots(_slotted(classify(views, site), ("entry", "simu"), slot_ms))
     parts = local.groupBy(
         *_SLOT_COLUMNS, "opens_slot", "kind", "entry", "here", "here_direct"
     ).agg(F.count(F.lit(1)).alias("n"), F.count_if("simu").alias("simu"))
-    return _across_slots(parts).select(
-        "guid", "kind", "entry", "here", "fallback", "n", "simu", _channel().alias("channel")
+    resolved = _across_slots(parts).select(
+        "guid", "entry", "fallback", "n", "simu", _channel().alias("channel"),
+        F.when(F.col("kind") == "D", c.DIRECT).otherwise(F.col("here")).alias("entered"),
     )
+    col, zero = F.col, F.lit(0).cast("bigint")
 
+    def count(channel: Column, scope: Column, pv: Column, simu: Column, enter: Column) -> Column:
+        return F.struct(
+            channel.alias("channel"), scope.alias("scope"), pv.alias("pv"), simu.alias("simu"),
+            enter.alias("enter"),
+        )
 
-def _entry_codes() -> Column:
-    channel = F.when(F.col("kind") == "D", c.DIRECT).otherwise(F.col("here"))
+    view_scope = F.when(is_portal(col("channel")), PORTAL).otherwise(FULL)
+    fallback_scope = F.when(col("fallback"), FULL)
+    counts = F.array(
+        count(col("channel"), view_scope, col("n"), col("simu"), zero),
+        count(col("entered"), col("entry"), zero, zero, col("n")),
+        count(F.lit(c.DIRECT), fallback_scope, zero, zero, F.lit(1).cast("bigint")),
+    )
+    # the sums stay in the visitor's partition and leave few rows to spread over the codes
     return (
-        F.when(F.col("entry") == "full", r.reported_codes(channel))
-        .when(F.col("entry") == "code", F.array(channel))
-        .when(F.col("entry") == "group", F.array(channel_group(channel), F.lit(c.ALL)))
-        .otherwise(F.array().cast("array<string>"))
+        resolved.select("guid", F.inline(counts))
+        .where("scope IS NOT NULL")
+        .groupBy("guid", "channel", "scope")
+        .agg(*[F.sum(name).alias(name) for name in ("pv", "simu", "enter")])
     )
 
 
 def channel_measures(visits: DataFrame, count_portals: bool = False) -> DataFrame:
     """pv, uv, valid uv, entries and private-fund uv per code: details, groups and total."""
-    zero = F.lit(0).cast("bigint")
-    none = F.array().cast("array<string>")
-    counted = F.lit(True) if count_portals else ~is_portal(F.col("channel"))
-    view_codes = F.when(counted, r.reported_codes(F.col("channel"))).otherwise(none)
-    fallback_codes = F.when(F.col("fallback"), r.reported_codes(F.lit(c.DIRECT))).otherwise(none)
-
-    def measure(pv: Column, simu: Column, enter: Column):
-        return lambda code: F.struct(
-            code.alias("code"), pv.alias("pv"), simu.alias("simu"), enter.alias("enter")
-        )
-
-    one = F.lit(1).cast("bigint")
-    rows = F.concat(
-        F.transform(view_codes, measure(F.col("n"), F.col("simu"), zero)),
-        F.transform(_entry_codes(), measure(zero, zero, F.col("n"))),
-        F.transform(fallback_codes, measure(zero, zero, one)),
+    channel, scope = F.col("channel"), F.col("scope")
+    if not count_portals:
+        visits = visits.where(scope != PORTAL)
+    codes = (
+        F.when(scope == CODE, F.array(channel))
+        .when(scope == GROUP, F.array(channel_group(channel), F.lit(c.ALL)))
+        .otherwise(r.reported_codes(channel))
     )
     per_visitor = (
-        visits.select("guid", F.inline(rows))
+        visits.select("guid", "pv", "simu", "enter", F.explode(codes).alias("code"))
         .groupBy("guid", "code")
-        .agg(F.sum("pv").alias("pv"), F.sum("simu").alias("simu"), F.sum("enter").alias("enter"))
+        .agg(*[F.sum(name).alias(name) for name in ("pv", "simu", "enter")])
     )
     return (
         r.add_zero_summaries(per_visitor.drop("guid"))

@@ -70,6 +70,13 @@ def failures(rows: DataFrame) -> DataFrame:
     return named.where("failure IS NOT NULL").groupBy("failure").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _sums():
+    return [
+        F.sum(name).cast(c.AMOUNT_TYPE if name == "amt" else "bigint").alias(name)
+        for name in _SUMS
+    ]
+
+
 def _rows(events: DataFrame, slot_ms: int, keep: tuple[str, ...]) -> DataFrame:
     assigned = otrack_channel(F.col("otrack")).alias("assigned")
     return with_slot(events.select("guid", "ts", assigned, *keep), slot_ms)
@@ -92,16 +99,9 @@ def visitor_channels(events: DataFrame, slot_ms: int = SLOT_MS) -> DataFrame:
         F.count_if(kind == c.ACTION_BIND_CARD).alias("bind_card"),
         F.count_if(kind == c.ACTION_OPEN_ACCOUNT).alias("open_acct"),
     )
-    return carry_across_slots(parts).select(
-        "guid", F.coalesce("here", "carried", F.lit(c.DIRECT)).alias("channel"), *_SUMS
-    )
-
-
-def _sums():
-    return [
-        F.sum(name).cast(c.AMOUNT_TYPE if name == "amt" else "bigint").alias(name)
-        for name in _SUMS
-    ]
+    channel = F.coalesce("here", "carried", F.lit(c.DIRECT)).alias("channel")
+    # still inside the visitor's partition: few rows are left to be spread over the codes
+    return carry_across_slots(parts).groupBy("guid", channel).agg(*_sums())
 
 
 def channel_measures(visits: DataFrame) -> DataFrame:
