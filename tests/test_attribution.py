@@ -156,3 +156,17 @@ def test_slots_bound_the_work_of_a_hot_visitor(spark):
     assert per_visitor.count() <= 4 * slots
     total = pc.measures(views).where(F.col("channel") == c.ALL).first()
     assert (total["pv"], total["uv"]) == (200_000, 1)
+
+
+def test_copies_are_counted_before_the_visitor_is_put_together(spark):
+    """A third of all rows being copies of a few lines leaves a handful of rows to order."""
+    views = spark.range(300_000).selectExpr(
+        "IF(id % 3 = 0, '0xbot', concat('0x', id % 1000)) AS guid",
+        "IF(id % 3 = 0, '5', CAST(id AS STRING)) AS ts",
+        "IF(id % 2 = 0, 'http://www.baidu.com/', '') AS srcurl", "'bad' AS htag",
+        f"'{LANDING}' AS desturl", "'12' AS pageid", "'1' AS proid",
+    )
+    found = {r["channel"]: r for r in pc.measures(views).collect()}
+    assert found[c.ALL]["pv"] == found[c.ALL]["enter"] == 300_000
+    bot = pc.measures(views.where("guid = '0xbot'")).where(F.col("channel") == c.DIRECT).first()
+    assert (bot["pv"], bot["uv"], bot["enter"]) == (50_000, 1, 50_000)

@@ -32,12 +32,15 @@ def keys(df):
     return [re.sub(r"#\d+L?", "", x) for x in exchanges(df)]
 
 
-def test_channel_reports_shuffle_three_times(stored):
-    """By (visitor, slot), by visitor for the summaries, by code for the partial sums."""
+def test_channel_report_shuffles(stored):
+    """Copies are counted first; then by (visitor, slot), by visitor for the few summary
+    rows, and by code for partial sums."""
     expected = ["hashpartitioning(code", "hashpartitioning(guid", "hashpartitioning(guid, slot"]
-    assert keys(pc.channel_report(stored["pv_log"])) == expected
-    assert keys(h5.view_report(stored["pv_log"])) == expected
-    assert keys(trade.trade_report(stored["trade_log"])) == expected
+    counted = "hashpartitioning(guid, ts, assigned"
+    assert keys(pc.channel_report(stored["pv_log"])) == [
+        *expected, "hashpartitioning(guid, ts, kind, assigned, entry"]
+    assert keys(h5.view_report(stored["pv_log"])) == [*expected, counted]
+    assert keys(trade.trade_report(stored["trade_log"])) == [*expected, counted]
 
 
 def test_page_reports_combine_before_each_shuffle(stored):

@@ -12,6 +12,10 @@ one task. Time is therefore cut into short slots:
    earlier slots (`carried_in`).
 
 The slot length is a parameter; the result does not depend on it.
+
+A slot cannot split events with one and the same time, such as copies of a log line.
+The reports therefore first count the events that agree in visitor, time and
+classification; copies shrink to one counted row before the first shuffle.
 """
 
 from __future__ import annotations
@@ -50,7 +54,7 @@ def carried_in(slot_value: Column) -> Column:
 def carry_within_slots(rows: DataFrame) -> DataFrame:
     """Step 1 for the column ``assigned``: adds ``here``, ``slot_last`` and ``opens_slot``.
 
-    Events with equal times are ordered by what they assign, so that the result does not
+    Events with equal times are ordered by what they assign, so the result does not
     depend on the order of the input.
     """
     window = slot_window("ts", "assigned")

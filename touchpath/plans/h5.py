@@ -80,24 +80,26 @@ def classify(views: DataFrame, site: c.Site = c.DEFAULT_SITE) -> DataFrame:
     return rows.withColumns({"assigned": assigned, "step": step})
 
 
-def _rows(views: DataFrame, site: c.Site, slot_ms: int, keep: tuple[str, ...]) -> DataFrame:
-    return with_slot(classify(views, site).select("guid", "ts", "assigned", *keep), slot_ms)
-
-
 def attribute(views: DataFrame, site: c.Site = c.DEFAULT_SITE, keep: tuple[str, ...] = (),
               slot_ms: int = SLOT_MS) -> DataFrame:
     """Channel of every H5 page view, with the ``keep`` columns."""
-    rows = attribute_rows(_rows(views, site, slot_ms, keep), c.DIRECT)
+    classified = classify(views, site).select("guid", "ts", "assigned", *keep)
+    rows = attribute_rows(with_slot(classified, slot_ms), c.DIRECT)
     return rows.select("guid", "ts", *keep, "channel")
 
 
 def visitor_channels(views: DataFrame, site: c.Site = c.DEFAULT_SITE,
                      slot_ms: int = SLOT_MS) -> DataFrame:
     """Page views, entries and funnel steps per visitor, slot and channel."""
-    local = carry_within_slots(_rows(views, site, slot_ms, ("step",)))
     steps = [F.count_if(F.col("step") == step).alias(step) for step in STEPS]
+    combined = classify(views, site).groupBy("guid", "ts", "assigned").agg(
+        F.count(F.lit(1)).alias("n"), *steps
+    )
+    local = carry_within_slots(with_slot(combined, slot_ms))
     parts = local.groupBy("guid", "slot", "slot_last", "here", "opens_slot").agg(
-        F.count(F.lit(1)).alias("n"), F.count("assigned").alias("entered"), *steps
+        F.sum("n").alias("n"),
+        F.coalesce(F.sum(F.when(F.col("assigned").isNotNull(), F.col("n"))), F.lit(0)).alias("entered"),
+        *[F.sum(step).alias(step) for step in STEPS],
     )
     first = Window.partitionBy("guid").orderBy("slot", F.desc("opens_slot"))
     parts = carry_across_slots(

@@ -143,9 +143,9 @@ def anomalies(views: DataFrame, site: c.Site = c.DEFAULT_SITE) -> DataFrame:
     )
 
 
-def _slotted(classified: DataFrame, keep: tuple[str, ...], slot_ms: int) -> DataFrame:
-    rows = classified.where(F.col("kind") != "S")
-    return with_slot(rows.select("guid", "ts", "kind", "assigned", *keep), slot_ms)
+def _counting(classified: DataFrame) -> DataFrame:
+    """Rows that change or use the visitor's state."""
+    return classified.where(F.col("kind") != "S")
 
 
 def _within_slots(rows: DataFrame) -> DataFrame:
@@ -224,7 +224,8 @@ def _channel() -> Column:
 def attribute(views: DataFrame, site: c.Site = c.DEFAULT_SITE, keep: tuple[str, ...] = (),
               slot_ms: int = SLOT_MS) -> DataFrame:
     """Channel of every page view (ignored rows left out), with the ``keep`` columns."""
-    slotted = _slotted(classify(views, site), keep, slot_ms)
+    rows = _counting(classify(views, site)).select("guid", "ts", "kind", "assigned", *keep)
+    slotted = with_slot(rows, slot_ms)
     slots = _across_slots(_summarize_slots(slotted))
     slots = slots.select("guid", "slot", "direct_assigns", "carried")
     rows = _within_slots(slotted).join(slots, ["guid", "slot"], "left")
@@ -239,10 +240,16 @@ def visitor_channels(views: DataFrame, site: c.Site = c.DEFAULT_SITE,
     and the total, ``code`` the channel only, ``group`` the group and the total,
     ``portal`` views that only count on request.
     """
-    local = _within_slots(_slotted(classify(views, site), ("entry", "simu"), slot_ms))
-    parts = local.groupBy(
-        *_SLOT_COLUMNS, "opens_slot", "kind", "entry", "here", "here_direct"
-    ).agg(F.count(F.lit(1)).alias("n"), F.count_if("simu").alias("simu"))
+    combined = (
+        _counting(classify(views, site))
+        .groupBy("guid", "ts", "kind", "assigned", "entry")
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if("simu").alias("simu"))
+    )
+    parts = (
+        _within_slots(with_slot(combined, slot_ms))
+        .groupBy(*_SLOT_COLUMNS, "opens_slot", "kind", "entry", "here", "here_direct")
+        .agg(F.sum("n").alias("n"), F.sum("simu").alias("simu"))
+    )
     resolved = _across_slots(parts).select(
         "guid", "entry", "fallback", "n", "simu", _channel().alias("channel"),
         F.when(F.col("kind") == "D", c.DIRECT).otherwise(F.col("here")).alias("entered"),

@@ -77,28 +77,29 @@ def _sums():
     ]
 
 
-def _rows(events: DataFrame, slot_ms: int, keep: tuple[str, ...]) -> DataFrame:
-    assigned = otrack_channel(F.col("otrack")).alias("assigned")
-    return with_slot(events.select("guid", "ts", assigned, *keep), slot_ms)
+def _assign(events: DataFrame) -> DataFrame:
+    return events.withColumn("assigned", otrack_channel(F.col("otrack")))
 
 
 def attribute(events: DataFrame, keep: tuple[str, ...] = (), slot_ms: int = SLOT_MS) -> DataFrame:
     """Channel of every trade event, with the ``keep`` columns."""
-    rows = attribute_rows(_rows(events, slot_ms, keep), c.DIRECT)
+    assigned = _assign(events).select("guid", "ts", "assigned", *keep)
+    rows = attribute_rows(with_slot(assigned, slot_ms), c.DIRECT)
     return rows.select("guid", "ts", *keep, "channel")
 
 
 def visitor_channels(events: DataFrame, slot_ms: int = SLOT_MS) -> DataFrame:
     """Trades, amount, bindings and openings per visitor, slot and channel."""
-    local = carry_within_slots(_rows(events, slot_ms, ("type", "amt")))
     kind = F.col("type")
     is_trade = is_trade_action(kind)
-    parts = local.groupBy("guid", "slot", "slot_last", "here").agg(
+    combined = _assign(events).groupBy("guid", "ts", "assigned").agg(
         F.count_if(is_trade).alias("bills"),
         F.sum(F.when(is_trade, F.col("amt"))).cast(c.AMOUNT_TYPE).alias("amt"),
         F.count_if(kind == c.ACTION_BIND_CARD).alias("bind_card"),
         F.count_if(kind == c.ACTION_OPEN_ACCOUNT).alias("open_acct"),
     )
+    local = carry_within_slots(with_slot(combined, slot_ms))
+    parts = local.groupBy("guid", "slot", "slot_last", "here").agg(*_sums())
     channel = F.coalesce("here", "carried", F.lit(c.DIRECT)).alias("channel")
     # still inside the visitor's partition: few rows are left to be spread over the codes
     return carry_across_slots(parts).groupBy("guid", channel).agg(*_sums())
