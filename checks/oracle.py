@@ -420,6 +420,15 @@ add(
     f"\nSELECT {LOG_HOUR} AS log, {NEWS_SELECT} FROM {NEWS_ROWS} AND {COMPLETE} GROUP BY 1, pageid",
     "pv_log",
 )
+add(
+    "news_pv_stream",
+    f""",
+n AS (SELECT CAST(ts AS BIGINT) // 3600000 * 3600000 AS hour_ms, CAST(ts AS BIGINT) AS ms, pageid, guid
+  FROM {NEWS_ROWS} AND {COMPLETE})
+SELECT hour_ms, pageid AS page_id, count(*) AS pv, count(DISTINCT guid) AS uv FROM n
+WHERE hour_ms + 3600000 <= (SELECT max(ms) FROM n) - 600000 GROUP BY 1, 2""",
+    "pv_log",
+)
 add(
     "news_pv_total",
     f"\nSELECT {DATE}, 10012 AS proid, '-1' AS page_id, CAST(-1 AS BIGINT) AS zid, "

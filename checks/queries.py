@@ -19,6 +19,7 @@ from touchpath.operators import report as r
 from touchpath.plans import app, h5, misc, pages, pc, trade
 from touchpath.sources import logs as src
 from touchpath.sources import tables
+from touchpath.streaming.hourly import news_per_hour, stream_log
 
 Query = Callable[[SparkSession, str], DataFrame]
 TEST_KEY = "a test key of 24+ bytes, not a secret"
@@ -283,6 +284,22 @@ def news_pv_hourly(spark, sf_dir):
     return pages.news_report(rows, DT, by=("log",))
 
 
+@query
+def news_pv_stream(spark, sf_dir):
+    """The streaming report over the whole log; hours the watermark has passed."""
+    lines, out = shared_path(spark, "stream_lines"), shared_path(spark, "stream_report")
+    spark_lines(spark, sf_dir, "pv_log").select("value").write.text(lines)
+    rows = stream_log(spark, lines, src.PAGE_VIEW)
+    job = (
+        news_per_hour(rows).writeStream.format("parquet").option("path", out)
+        .option("checkpointLocation", shared_path(spark, "stream_progress"))
+        .trigger(availableNow=True).start()
+    )
+    job.awaitTermination()
+    stored = spark.read.schema("hour timestamp, page_id string, pv bigint, uv bigint").parquet(out)
+    return stored.select(F.unix_millis("hour").alias("hour_ms"), "page_id", "pv", "uv")
+
+
 @query
 def news_pv_total(spark, sf_dir):
     return pages.news_total(spark_log(spark, sf_dir, "pv_log"), DT)
