@@ -33,20 +33,36 @@ def sorted_rows(columns: list[str], rows) -> list[tuple]:
     return sorted((tuple(normal(row[i]) for i in order) for row in rows), key=repr)
 
 
-def duckdb_rows(sf_dir: str, sql: str) -> tuple[list[str], list]:
+def kind(type_name: str) -> str:
+    """Common name of a Spark or DuckDB type."""
+    name = str(type_name).lower()
+    names = {"varchar": "string", "integer": "int", "timestamp with time zone": "timestamp"}
+    return names.get(name, name)
+
+
+def duckdb_result(sf_dir: str, sql: str):
     con = duckdb.connect()
     for path in glob.glob(f"{sf_dir}/*.parquet"):
         name = os.path.splitext(os.path.basename(path))[0]
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
-    result = con.execute(sql)
-    return [d[0] for d in result.description], result.fetchall()
+    return con.sql(sql)
+
+
+def duckdb_rows(sf_dir: str, sql: str) -> tuple[list[str], list]:
+    result = duckdb_result(sf_dir, sql)
+    return result.columns, result.fetchall()
 
 
 def difference(df: DataFrame, sf_dir: str, name: str) -> str | None:
     """None when the query equals its SQL, else what differs."""
-    columns, rows = duckdb_rows(sf_dir, ORACLE_SQL[name])
+    result = duckdb_result(sf_dir, ORACLE_SQL[name])
+    columns, rows = result.columns, result.fetchall()
     if sorted(columns) != sorted(df.columns):
         return f"columns {sorted(df.columns)} != {sorted(columns)}"
+    wanted_types = {n: kind(t) for n, t in zip(columns, result.types)}
+    types = {n: kind(t) for n, t in df.dtypes}
+    if types != wanted_types:
+        return f"types {set(types.items()) ^ set(wanted_types.items())}"
     got, want = sorted_rows(df.columns, df.collect()), sorted_rows(columns, rows)
     if len(got) != len(want):
         return f"{len(got)} rows, expected {len(want)}; e.g. {got[:2]} / {want[:2]}"

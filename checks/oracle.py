@@ -436,15 +436,24 @@ add(
     f"count(DISTINCT guid) AS uv FROM {NEWS_ROWS}",
     "pv_log",
 )
+IS_FUND_PAGE = r"regexp_full_match(pageid, '\d+(1|2|3)2')"
+IS_FUND_URL = rf"regexp_full_match(desturl, '(?:http|https)://.*simu\.{SITE}\.com.*')"
 add(
     "simu_page_pv",
     f"\nSELECT {DATE}, 10011 AS proid, CAST(pageid AS BIGINT) AS page_id, "
     "CAST(right(pageid, 2) AS INTEGER) AS page_type, count(*) AS pv, "
     f"count(DISTINCT guid) AS uv FROM pv_log WHERE NOT {VISITOR_BAD} "
-    r"AND starts_with('10011', proid) AND regexp_full_match(pageid, '\d+(1|2|3)2') "
-    rf"AND regexp_full_match(desturl, '(?:http|https)://.*simu\.{SITE}\.com.*') GROUP BY pageid",
+    f"AND starts_with('10011', proid) AND {IS_FUND_PAGE} AND {IS_FUND_URL} GROUP BY pageid",
     "pv_log",
 )
+add("news_rejects", rejects_sql("pv_log", [
+    (f"({VISITOR_BAD} OR NOT starts_with('10012', proid))", "INVALID_DATA"),
+    (f"NOT {IS_NEWS_PAGE}", "INVALID_PAGEID"),
+]), "pv_log")
+add("simu_rejects", rejects_sql("pv_log", [
+    (f"({VISITOR_BAD} OR NOT starts_with('10011', proid))", "INVALID_DATA"),
+    (f"NOT {IS_FUND_PAGE}", "INVALID_PAGEID"), (f"NOT {IS_FUND_URL}", "INVALID_URL"),
+]), "pv_log")
 AD_TESTS = [
     (VISITOR_BAD, "INVALID_DATA"), ("tag IN ('', 'null')", "NO_TAG"),
     (r"(tag = '10000' OR NOT regexp_full_match(tag, '1\d{4}'))", "INVALID_TAG"),

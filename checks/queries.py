@@ -305,6 +305,16 @@ def news_pv_total(spark, sf_dir):
     return pages.news_total(spark_log(spark, sf_dir, "pv_log"), DT)
 
 
+@query
+def news_rejects(spark, sf_dir):
+    return pages.news_rejects(parsed(spark, sf_dir, "pv_log"))
+
+
+@query
+def simu_rejects(spark, sf_dir):
+    return pages.private_fund_rejects(parsed(spark, sf_dir, "pv_log"))
+
+
 @query
 def simu_page_pv(spark, sf_dir):
     return pages.private_fund_report(spark_log(spark, sf_dir, "pv_log"), DT)

@@ -173,13 +173,13 @@ def openings(rows: DataFrame) -> DataFrame:
 
 
 def opening_measures(rows: DataFrame) -> DataFrame:
-    codes = openings(rows).select(
-        F.explode(r.reported_codes(F.col("channel"))).alias("code"), F.lit(1).alias("one")
-    )
+    """Openings per code: details, groups, total. Only the channels found are spread out."""
+    per_channel = openings(rows).groupBy("channel").agg(F.count(F.lit(1)).alias("n"))
+    codes = per_channel.select(F.explode(r.reported_codes(F.col("channel"))).alias("code"), "n")
     return (
         r.add_zero_summaries(codes)
         .groupBy(F.col("code").alias("channel"))
-        .agg(F.count("one").alias("openacct_num"))
+        .agg(r.total_or_zero("n").alias("openacct_num"))
     )
 
 

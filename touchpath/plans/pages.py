@@ -35,6 +35,14 @@ def check_private_fund(rows: DataFrame, site: c.Site = c.DEFAULT_SITE) -> DataFr
     return _check_section(rows, c.MODULE_PRIVATE_FUND, c.PRIVATE_FUND_PAGE, wrong_url)
 
 
+def news_rejects(rows: DataFrame) -> DataFrame:
+    return q.count_outcomes(check_news(rows))
+
+
+def private_fund_rejects(rows: DataFrame, site: c.Site = c.DEFAULT_SITE) -> DataFrame:
+    return q.count_outcomes(check_private_fund(rows, site))
+
+
 def _traffic(rows: DataFrame, *keys: str) -> DataFrame:
     """Page views and distinct visitors per key.
 
@@ -103,11 +111,15 @@ def ad_rejects(rows: DataFrame) -> DataFrame:
 
 
 def ad_report(rows: DataFrame, dt: str | None = None) -> DataFrame:
-    """Clicks per ad slot, product and page; blank product means the site's own ads."""
+    """Clicks per ad slot, product and page, in this order.
+
+    A blank product means the site's own ads.
+    """
     clicks = q.accepted(check_ads(rows)).select(
         "tag",
         F.when(is_blank(F.col("proid")), c.MODULE_AD).otherwise(F.col("proid")).alias("proid"),
         F.when(is_blank(F.col("pageid")), "").otherwise(F.col("pageid")).alias("page_id"),
     )
-    counted = clicks.groupBy("tag", "proid", "page_id").agg(F.count(F.lit(1)).alias("click_num"))
-    return r.with_date(counted, dt)
+    key = ("tag", "proid", "page_id")
+    counted = clicks.groupBy(*key).agg(F.count(F.lit(1)).alias("click_num"))
+    return r.with_date(counted, dt).orderBy(*key)
