@@ -55,13 +55,18 @@ def parse(lines: DataFrame, layout: LogLayout, keep: Sequence[str] = ()) -> Data
 
     Positions beyond the end of a short line are NULL. ``keep`` passes further
     columns of ``lines`` through.
+
+    The line is split in one step and unpacked in a second one, by a generator that gives
+    one row per line. Filters on the fields stay above it; pushed through a plain
+    projection, they would repeat the split for every field they mention.
     """
-    fields = F.split("value", FIELD_SEPARATOR, -1)
+    split = lines.select(*keep, F.split("value", FIELD_SEPARATOR, -1).alias("fields"))
     named = [
-        trim_field(F.get(fields, F.lit(i))).alias(name)
+        trim_field(F.get("fields", F.lit(i))).alias(name)
         for name, i in layout.positions.items()
     ]
-    return lines.select(*keep, F.size(fields).alias("n_fields"), *named)
+    row = F.struct(F.size("fields").alias("n_fields"), *named)
+    return split.select(*keep, F.inline(F.array(row)))
 
 
 def complete(rows: DataFrame, layout: LogLayout) -> DataFrame:
