@@ -49,7 +49,8 @@ def main() -> None:
     spark = session()
     folder = tempfile.mkdtemp(prefix="bench-")
     for name in LOGS:
-        spark_log(spark, SF_DIR, name).write.parquet(f"{folder}/{name}")
+        # several files per log, as a real log directory has
+        spark_log(spark, SF_DIR, name).repartition(int(CPUS)).write.parquet(f"{folder}/{name}")
     spark_lines(spark, SF_DIR, "pv_log").select("value").write.text(f"{folder}/pv_text")
 
     def log(name: str) -> DataFrame:
