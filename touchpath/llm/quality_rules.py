@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from touchpath.llm.common import GAP, WHITE, WORD, bound, settled, spread_join, written
 
-SYMBOLS = "#*$%&|<>"
+SYMBOL = r"[#*$%&|<>]"
 ALPHA, DELTA = 0.02, 0.05
 MIN_WORDS, REPEAT_PERCENT, SPAN = 50, 50, 3
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -60,21 +60,24 @@ def with_features(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the base columns, ``n_lines`` and ``base_failed`` under ``q``."""
     body = F.coalesce(F.col(text), F.lit(""))
     split = settled(docs, "__part", F.struct(
-        F.filter(F.split(body, GAP), lambda w: w != "").alias("words"),
+        bound(F.btrim(body, F.lit(WHITE)), lambda t: F.when(t == "", F.array().cast("array<string>")).otherwise(
+            F.split(t, GAP))).alias("words"),
         F.filter(F.split(body, "\n"), lambda x: x.rlike(WORD)).alias("lines"),
     ))
     words, lines = F.col("__part.words"), F.col("__part.lines")
     n = F.size(words)
-    windows = F.when(n >= SPAN, bound(words, lambda w: F.transform(
-        F.sequence(F.lit(0), F.size(w) - SPAN), lambda i: F.xxhash64(*[F.get(w, i + j) for j in range(SPAN)])
+    def rest(w: Column, k: int) -> Column:
+        return F.slice(w, F.lit(k + 1), F.size(w))
+    windows = F.when(n >= SPAN, bound(words, lambda w: F.slice(
+        F.zip_with(F.zip_with(w, rest(w, 1), lambda a, b: F.xxhash64(a, b)), rest(w, 2), lambda a, b: F.xxhash64(a, b)), F.lit(1), F.size(w) - SPAN + 1
     ))).otherwise(F.array().cast("array<bigint>"))
     repeated = bound(windows, lambda h: F.when(
         F.size(F.array_distinct(h)) == F.size(h), F.lit(0)
     ).otherwise(_covered_words(h)))
     counted = settled(split, "__counted", F.struct(
         n.cast("long").alias("n_words"),
-        F.length(F.translate(body, WHITE, "")).cast("long").alias("word_chars"),
-        (F.length(body) - F.length(F.translate(body, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
+        F.regexp_count(body, F.lit(SYMBOL)).cast("long").alias("n_symbols"),
         (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
         repeated.cast("long").alias("n_repeat_words"),
         F.size(lines).cast("long").alias("n_lines"),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchpath.llm import mixing, packing, pii, quality_rules, simhash
+from touchpath.llm import mixing, packing, pii, quality_rules, simhash, suffix_tree, token_counts, vector_graph, warc
 from touchpath.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,3 +44,26 @@ def op9_quality_rules(spark, sf_dir):
 @query
 def op10_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_token_counts(spark, sf_dir):
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_suffix_tree(spark, sf_dir):
+    return suffix_tree.scored(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_warc_dictionary(spark, sf_dir):
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
+ORACLE_SQL["op1_warc_dictionary"] = warc.ORACLE
+
+
+@query
+def op7_vector_graph(spark, sf_dir):
+    return vector_graph.near_vectors(table(spark, sf_dir, "embeddings"))
