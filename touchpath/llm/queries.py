@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchpath.llm import mixing, packing, pii, quality_rules, simhash, suffix_tree, token_counts, vector_graph, warc
+from touchpath.llm import mixing, packing, pii, quality_rules, simhash, suffix_dedup, suffix_tree, token_counts, vector_graph, warc
 from touchpath.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,3 +67,8 @@ ORACLE_SQL["op1_warc_dictionary"] = warc.ORACLE
 @query
 def op7_vector_graph(spark, sf_dir):
     return vector_graph.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op2_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
