@@ -11,12 +11,13 @@ is first divided without losing a repeat:
    all their windows are repeated. One of them stands for all in the next step.
 3. Different contexts of an anchor can only share a window if half of the bytes missing
    to ``LENGTH`` agree on one side of the anchor. Contexts that agree on a side (by hash)
-   are a group.
+   with another one are brought together by anchor; with the bytes at hand those remain
+   that agree with another one in all but less than ``STEP`` bytes of a window.
 4. The contexts of groups are laid out in shards. Each shard's suffixes are sorted and
    give its Burrows-Wheeler transform. The transforms are merged by iterative interleave
    refinement: starting from one class per group, each round puts the suffixes that are
    one symbol longer in order of that symbol, stably, so that after k rounds suffixes are
-   together exactly if they share k symbols. The round in which neighbours part is their
+   together exactly if they share k symbols (``WIDE`` bytes each). The round in which neighbours part is their
    common prefix; suffixes left alone can never be repeated and leave. What is still
    together after ``LENGTH`` rounds are the repeated windows. No suffix is sorted again.
 
@@ -48,6 +49,9 @@ BUFFER, SHARD, BATCH = 1 << 23, 1 << 17, 1 << 20
 _PLACE = np.uint64((1 << 24) - 1)
 _FACTOR = 0x9E3779B97F4A7C15
 SEPARATOR = 0xFF  # never in UTF-8
+WIDE = 8  # bytes in a symbol of the transform; divides LENGTH
+STEP = 46  # a window around an anchor has STEP-wise known bytes on its sides
+_LOW = np.uint64(0xFFFFFFFF)
 
 
 def _gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -73,7 +77,7 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchor_runs(data: bytes, starts: np.ndarray, ends: np.ndarray) -> list[tuple]:
-    """(text number, anchor, context, left, right, start, n) of all windows inside texts.
+    """(text number, anchor, context, left, right, start, n, offset of the anchor) of all windows inside texts.
 
     ``data`` holds texts one after the other; ``start`` counts from the text's start.
     """
@@ -100,23 +104,23 @@ def anchor_runs(data: bytes, starts: np.ndarray, ends: np.ndarray) -> list[tuple
                                    starts[own].tolist(), ends[own].tolist(), signed):
         left = digest(data[a - SIDE:a]) >> 1 if a - SIDE >= s else None
         right = digest(data[a + GRAM:a + GRAM + SIDE]) >> 1 if a + GRAM + SIDE <= e else None
-        rows.append((i, h, digest(data[p:q - 1 + LENGTH]) >> 1, left, right, p - s, q - p))
+        rows.append((i, h, digest(data[p:q - 1 + LENGTH]) >> 1, left, right, p - s, q - p, a - p))
     return rows
 
 
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["doc_id", "hash", "anchor", "context", "left", "right", "start", "n"]
+    names = ["doc_id", "hash", "anchor", "context", "left", "right", "start", "n", "at"]
 
     def rows(texts: list[tuple]) -> pa.RecordBatch:
         data = b"".join(t[2] for t in texts)
         ends = np.cumsum([len(t[2]) for t in texts])
         starts = ends - [len(t[2]) for t in texts]
         found = anchor_runs(data, starts, ends)
-        columns = list(zip(*found)) if found else [()] * 7
+        columns = list(zip(*found)) if found else [()] * 8
         keys = [[texts[i][k] for i in columns[0]] for k in (0, 1)]
         shifted = [p + texts[i][3] for i, p in zip(columns[0], columns[5])]
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, pa.int64()) for c in (*keys, *columns[1:5], shifted, columns[6])], names)
+            [pa.array(c, pa.int64()) for c in (*keys, *columns[1:5], shifted, *columns[6:])], names)
 
     for batch in batches:
         waiting, size = [], 0
@@ -157,28 +161,29 @@ def repeated_windows(contexts: list[bytes], groups: list[int], owned: list[int])
     data = np.frombuffer(bytes([SEPARATOR]) + b"".join(c + bytes([SEPARATOR]) for c in contexts), np.uint8)
     begin = np.cumsum(lengths) - lengths + 1
     # shards of whole contexts, each with its suffix order and transform
-    suffix, at = [], 0
-    cut = [0, *np.flatnonzero(np.diff((begin - 1) // SHARD)) + 1, len(contexts)]
-    bounds = [0 if i == 0 else int(begin[i]) if i < len(contexts) else len(data) for i in dict.fromkeys(cut)]
-    for at, to in zip(bounds, bounds[1:]):
-        suffix.append(sorted_suffixes(data[at:to]) + at)
-    suffix = np.concatenate(suffix)
-    rank = np.empty(len(data), np.int64)
+    cut = [0, *np.flatnonzero(np.diff((begin - 1) // SHARD)) + 1]
+    bounds = [0, *[int(begin[i]) for i in cut[1:]], len(data)]
+    suffix = np.concatenate([sorted_suffixes(data[a:b]) + a for a, b in zip(bounds, bounds[1:])])
+    rank = np.empty(len(data), np.int32)
     rank[suffix] = np.arange(len(data))
-    transform = data[suffix - 1]
-    back = rank[suffix - 1]
+    before = suffix - WIDE  # the texts form a ring
+    words = np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(
+        np.concatenate((data, data[:WIDE - 1])), WIDE)).view(np.uint64).ravel()
+    transform = np.unique(words[before], return_inverse=True)[1].astype(np.uint64) << np.uint64(32)
+    back = rank[before]
     # interleave: suffixes by shard and rank, one class for each group
     group = np.repeat(np.asarray(groups), lengths)
     group = np.concatenate((group[:1], group))[suffix]
-    line = np.argsort(group, kind="stable")
-    kind = group[line]
-    for _ in range(LENGTH):
-        symbol = transform[line]
-        order = np.argsort(symbol, kind="stable")
-        line, kind, symbol = back[line][order], kind[order], symbol[order]
+    line = np.argsort(group, kind="stable").astype(np.int32)
+    kind = group[line].astype(np.int32)
+    for _ in range(LENGTH // WIDE):
+        # sorted by symbol, and stably so by the place in the line
+        key = np.sort(transform[line] | np.arange(len(line), dtype=np.uint64))
+        order = (key & _LOW).astype(np.int32)
+        line, kind, symbol = back[line[order]], kind[order], key >> np.uint64(32)
         new = np.concatenate(([True], (symbol[1:] != symbol[:-1]) | (kind[1:] != kind[:-1]), [True]))
         together = ~(new[:-1] & new[1:])
-        kind = np.cumsum(new[:-1])[together]
+        kind = np.cumsum(new[:-1], dtype=np.int32)[together]
         line = line[together]
         if not len(line):
             break
@@ -194,27 +199,48 @@ def repeated_windows(contexts: list[bytes], groups: list[int], owned: list[int])
     return [several[b:b + n] for b, n in zip(begin.tolist(), owned)]
 
 
+def _alike(rows: list[tuple]) -> list[tuple]:
+    """Contexts of a group that agree with another one in all but less than STEP bytes of a window."""
+    seen: dict[tuple, int] = {}
+    keys = []
+    for *_, at, data in rows:
+        own = []
+        for left in range(0, LENGTH - GRAM + 1, STEP):
+            end = at + GRAM + max(0, LENGTH - GRAM - left - STEP)
+            if left <= at and end <= len(data):
+                own.append((left, xxhash.xxh3_64_intdigest(data[at - left:end])))
+        for k in own:
+            seen[k] = seen.get(k, 0) + 1
+        keys.append(own)
+    return [r for r, own in zip(rows, keys) if any(seen[k] > 1 for k in own)]
+
+
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Groups arrive whole, one after the other; several are merged at a time."""
     def solve(rows: list[tuple]) -> pa.RecordBatch:
         ids: dict = {}
         groups = [ids.setdefault(r[0], len(ids)) for r in rows]
         out = []
-        for r, flags in zip(rows, repeated_windows([r[5] for r in rows], groups, [r[4] for r in rows])):
+        for r, flags in zip(rows, repeated_windows([r[6] for r in rows], groups, [r[4] for r in rows])):
             edge = np.flatnonzero(np.diff(np.concatenate(([0], flags.view(np.int8), [0]))))
             out += [(r[1], r[2], r[3] + int(a), int(b - a)) for a, b in zip(edge[::2], edge[1::2])]
         columns = list(zip(*out)) if out else [()] * 4
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "hash", "start", "n"])
 
-    waiting, size = [], 0
+    waiting, size, group = [], 0, []
     for batch in batches:
         columns = [c.to_pylist() for c in batch.columns]
         for row in zip(zip(*columns[:5]), *columns[5:]):
-            if size >= BATCH and waiting[-1][0] != row[0]:
+            if group and group[0][0] != row[0]:
+                kept = _alike(group)
+                waiting += kept
+                size += sum(len(r[6]) for r in kept)
+                group = []
+            if size >= BATCH:
                 yield solve(waiting)
                 waiting, size = [], 0
-            waiting.append(row)
-            size += len(row[5])
+            group.append(row)
+    waiting += _alike(group)
     if waiting:
         yield solve(waiting)
 
@@ -245,11 +271,11 @@ def _cleaned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, one row per input row."""
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("hash"), F.col(text).alias("text"))
-    ddl = ", ".join(f"{c} long" for c in ("doc_id", "hash", "anchor", "context", "left", "right", "start", "n"))
+    ddl = ", ".join(f"{c} long" for c in ("doc_id", "hash", "anchor", "context", "left", "right", "start", "n", "at"))
     runs = written(texts.where(F.octet_length("text") >= LENGTH).mapInArrow(_anchors, ddl), "repeat-runs")
     often = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor")
     shared = written(runs.join(often, "anchor"), "repeat-shared")
-    one = F.min(F.struct("doc_id", "hash", "start", "n", "left", "right"))
+    one = F.min(F.struct("doc_id", "hash", "start", "n", "at", "left", "right"))
     classes = written(shared.groupBy("anchor", "context").agg(
         F.count(F.lit(1)).alias("copies"), one.alias("one")), "repeat-classes")
     whole = shared.join(classes.where("copies > 1").select("anchor", "context"), ["anchor", "context"]).select(
@@ -261,9 +287,16 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         "anchor", "context", "copies", "one", "s.*").where("value is not null")
     keys = ["anchor", "side", "value"]
     met = sides.groupBy(*keys).agg(F.count(F.lit(1)).alias("m"), F.min("copies").alias("fewest")).where("m > 1 and fewest = 1")
+    met = written(sides.join(met.drop("fewest"), keys).select(
+        *keys, "m", "context", "one.doc_id", "one.hash", "one.start", "one.n", "one.at"), "repeat-met")
+    # an anchor with few contexts is one group; else those that agree on a side are
+    crowded = met.groupBy("anchor").agg(F.count(F.lit(1)).alias("all")).where(F.col("all") > GROUP).select("anchor")
+    few = met.join(crowded, "anchor", "left_anti").select(
+        "anchor", F.lit(-1).alias("side"), F.lit(0).cast("long").alias("value"), F.lit(1).cast("long").alias("m"),
+        "context", "doc_id", "hash", "start", "n", "at").distinct()
     blocks = F.ceil(F.col("m") / GROUP)
-    asked = written(sides.join(met.drop("fewest"), keys).select(
-        *keys, "copies", "one.doc_id", "one.hash", "one.start", "one.n", blocks.alias("blocks"),
+    asked = written(few.union(met.join(crowded, "anchor", "left_semi").select(few.columns)).select(
+        *keys, "doc_id", "hash", "start", "n", "at", blocks.alias("blocks"),
         F.pmod(F.xxhash64("context"), blocks).alias("block")), "repeat-asked")
 
     spots = whole.select("doc_id", "hash", F.struct("start", "n").alias("run"), F.lit(None).cast(
@@ -286,7 +319,7 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         "low": F.least("block", "other"), "high": F.greatest("block", "other")})
     place = [pairs["doc_id"].eqNullSafe(cut["doc_id"]), pairs["hash"] == cut["hash"], pairs["start"] == cut["start"]]
     contexts = pairs.join(cut, place).select(
-        "anchor", "side", "value", "low", "high", cut["doc_id"], cut["hash"], cut["start"], "n", "bytes")
+        "anchor", "side", "value", "low", "high", cut["doc_id"], cut["hash"], cut["start"], "n", "at", "bytes")
     group = ["anchor", "side", "value", "low", "high"]
     parts = contexts.repartition(*group).sortWithinPartitions(*group)
     found = written(parts.mapInArrow(_merged, "doc_id long, hash long, start long, n long").distinct(), "repeat-found")
