@@ -176,12 +176,12 @@ def quality_report(docs: DataFrame, labels: DataFrame, stratum: str = "lang") ->
 
 def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
     """The rows of ``docs`` that pass, all their columns unchanged; texts are not shuffled twice."""
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"),
-                         F.col("doc_id"), F.col("text"), F.col(stratum).alias("__stratum"))
-    featured = with_features(packed)
+    kept = [F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(docs.columns)]
+    named = docs.select(*kept, "doc_id", "text", F.col(stratum).alias("__stratum"))
+    featured = with_features(named)
     cutoffs = written(thresholds(narrow(featured, stratum="__stratum"), labels), "quality-cutoffs")
     judged = with_verdict(
-        featured.select("__row", _stratum("__stratum").alias("stratum"), "q.*"),
-        cutoffs, F.col("__row.doc_id"),
+        featured.select(*[f"__c{i}" for i in range(len(kept))], "doc_id", _stratum("__stratum").alias("stratum"), "q.*"),
+        cutoffs, F.col("doc_id"),
     )
-    return judged.where("kept").select("__row.*")
+    return judged.where("kept").select(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(docs.columns)])
