@@ -617,8 +617,6 @@ add(
     APP_ROWS + STATE + "SELECT count(*) AS n FROM o WHERE zhangji_firsttime IS NOT NULL",
     "app_log",
 )
-# encryption itself has no SQL counterpart; decrypting what was encrypted has
-add("decrypt_custno", "\nSELECT event_id, custno FROM app_log", "app_log")
 
 # --- small text jobs ---------------------------------------------------------
 
@@ -637,6 +635,6 @@ SELECT CASE WHEN f <= 10 THEN 0 WHEN f <= 20 THEN 1 ELSE 2 END AS bucket,
 )
 add(
     "signature",
-    "SELECT doc_id, to_base64(encode(md5(text))) AS signature, TRUE AS verified, "
+    "SELECT doc_id, to_base64(encode(md5(text))) AS signature, TRUE AS verified, FALSE AS verified_changed, "
     "TRUE AS base64_round_trip FROM documents",
 )

@@ -13,7 +13,6 @@ from checks.logs import DT, LOGS, STATE_CUT_MS, spark_lines, spark_log
 from touchpath import config as c
 from touchpath.functions import channels as ch
 from touchpath.functions import text
-from touchpath.functions.crypto import decrypt_column, encrypt_column
 from touchpath.functions.pages import funnel_step, news_page_parts
 from touchpath.operators import report as r
 from touchpath.plans import app, h5, misc, pages, pc, trade
@@ -22,7 +21,6 @@ from touchpath.sources import tables
 from touchpath.streaming.hourly import news_per_hour, stream_log
 
 Query = Callable[[SparkSession, str], DataFrame]
-TEST_KEY = "a test key of 24+ bytes, not a secret"
 QUERIES: dict[str, Query] = {}
 
 
@@ -440,21 +438,6 @@ def table_count(spark, sf_dir):
     return tables.count_rows(stored, F.col("zhangji_firsttime").isNotNull())
 
 
-@query
-def encrypt_custno(spark, sf_dir):
-    log = spark_log(spark, sf_dir, "app_log")
-    return log.select("event_id", encrypt_column(F.col("custno"), TEST_KEY).alias("encrypted"))
-
-
-@query
-def decrypt_custno(spark, sf_dir):
-    log = spark_log(spark, sf_dir, "app_log")
-    stored = log.select(
-        "event_id", encrypt_column(F.col("custno"), TEST_KEY, wrap=True).alias("stored")
-    )
-    return stored.select("event_id", decrypt_column(F.col("stored"), TEST_KEY).alias("custno"))
-
-
 # --- sinks -------------------------------------------------------------------
 
 @query
@@ -494,5 +477,6 @@ def signature(spark, sf_dir):
         "doc_id",
         signed.alias("signature"),
         text.sign_matches(body, signed).alias("verified"),
+        text.sign_matches(F.concat(body, F.lit("!")), signed).alias("verified_changed"),
         (text.decode_base64(text.encode_base64(body)) == body).alias("base64_round_trip"),
     )

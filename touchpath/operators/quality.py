@@ -10,18 +10,28 @@ INCOMPLETE = "NO_COMPLETE"
 INVALID_DATA = "INVALID_DATA"
 INVALID_URL = "INVALID_URL"
 INVALID_TIME = "INVALID_TIME"
+MAX_TIME_MS = 253402300799999  # end of the year 9999
 
 
 def first_failure(*tests: tuple[Column, str]) -> Column:
-    """Reason of the first test that is true; NULL when the row passes all of them."""
-    return F.coalesce(*[F.when(failed, reason) for failed, reason in tests])
+    """Reason of the first test that is true or unknown; NULL when the row passes all of them.
+
+    A test that comes out NULL rejects the row: a missing value is not a good one. Tests
+    for which a missing value is harmless say so themselves.
+    """
+    return F.coalesce(*[F.when(F.coalesce(failed, F.lit(True)), reason) for failed, reason in tests])
+
+
+def no_time(millis: Column) -> Column:
+    """Test for a time that is missing or beyond what a timestamp can hold."""
+    return millis.isNull() | ~millis.between(-MAX_TIME_MS, MAX_TIME_MS)
 
 
 def incomplete(rows: DataFrame, arity: int) -> list[tuple[Column, str]]:
     """Arity test; rows that do not come from a delimited file have no ``n_fields``."""
     if "n_fields" not in rows.columns:
         return []
-    return [(F.col("n_fields") != arity, INCOMPLETE)]
+    return [(F.coalesce(F.col("n_fields") != arity, F.lit(False)), INCOMPLETE)]
 
 
 def accepted(rows: DataFrame) -> DataFrame:

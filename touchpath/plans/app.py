@@ -40,7 +40,7 @@ def check(rows: DataFrame, decrypt: Callable[[Column], Column] | None = None) ->
     unusable = F.col("deviceid").rlike(c.DEVICE_ID_UNUSABLE) & (F.col("custno") == "0")
     return rows.withColumn("reject", q.first_failure(
         *q.incomplete(rows, APP_LOGIN.arity),
-        (to_long(F.col("ts")).isNull(), q.INVALID_TIME),
+        (q.no_time(to_long(F.col("ts"))), q.INVALID_TIME),
         (F.col("type").try_cast("int").isNull(), "INVALID_TYPE"),
         (unusable, "INVALID_DEVICE"),
         (~known, "UNKNOWN_PRODUCT"),

@@ -64,7 +64,7 @@ def check(rows: DataFrame, site: c.Site = c.DEFAULT_SITE) -> DataFrame:
     return rows.withColumn("reject", q.first_failure(
         *q.incomplete(rows, PAGE_VIEW.arity),
         (visitor_invalid(), q.INVALID_DATA),
-        (F.col("proid") == c.PRODUCT_EXCLUDED_ON_PC, "EXCLUDED_PRODUCT"),
+        (F.coalesce(F.col("proid") == c.PRODUCT_EXCLUDED_ON_PC, F.lit(False)), "EXCLUDED_PRODUCT"),
         (~F.col("desturl").rlike(site.landing), q.INVALID_URL),
         (to_long(F.col("ts")).isNull(), q.INVALID_TIME),
     ))

@@ -42,7 +42,7 @@ def check(rows: DataFrame, site: c.Site = c.DEFAULT_SITE) -> DataFrame:
     return rows.withColumn("reject", q.first_failure(
         *q.incomplete(rows, TRADE.arity),
         (~F.coalesce(kind.isin(*c.REPORTED_ACTIONS), F.lit(False)), "OTHER_ACTION"),
-        (F.col("tx_rslt") == "0", "FAILED"),
+        (F.coalesce(F.col("tx_rslt") == "0", F.lit(False)), "FAILED"),
         (~F.col("url").rlike(site.landing), q.INVALID_URL),
         (blank_key, q.INVALID_DATA),
         (to_long(F.col("ts")).isNull(), q.INVALID_TIME),

@@ -6,13 +6,15 @@ from pyspark.sql import SparkSession
 
 # Narrow rows reach the shuffles, so many small partitions are cheap: AQE starts from a
 # high number and merges them to the advisory size. Joins only broadcast what AQE has
-# measured to be below the threshold, and skewed join partitions are split.
+# measured to be below the threshold (size estimates alone never broadcast), and skewed
+# join partitions are split.
 CLUSTER_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
