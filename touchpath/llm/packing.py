@@ -27,6 +27,7 @@ import os
 import zlib
 from collections import deque
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -94,6 +95,12 @@ class WordEncoder:
         return np.frombuffer(packed, "<u4")
 
 
+@lru_cache(maxsize=2)
+def encoder_for(name: str) -> WordEncoder:
+    """One encoder per worker process: later tasks find the words known."""
+    return WordEncoder(name)
+
+
 def cut_places(ids: np.ndarray, doc_ends: np.ndarray, ends: np.ndarray, last: bool) -> tuple[np.ndarray, np.ndarray]:
     """Positions where a window may end, ascending from 0 to len(ids), and their costs."""
     n = len(ids)
@@ -209,7 +216,7 @@ def packed(docs: DataFrame, tokenizer: str = TOKENIZER, doc_id: str = "doc_id",
         end = np.array([END_ID], "<u4")
         for batch in batches:
             if packer is None:
-                encoder = WordEncoder(tokenizer)
+                encoder = encoder_for(tokenizer)
                 packer = Packer(encoder.ends, TaskContext.get().partitionId() << 40)
             for key, value in zip(batch.column(0).to_pylist(), batch.column(1)):
                 packer.add(key, np.concatenate((encoder(value.as_py() or ""), end)))

@@ -21,6 +21,7 @@ import os
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -79,6 +80,12 @@ class PreTokenizer:
         return known
 
 
+@lru_cache(maxsize=2)
+def cutter_for(name: str) -> PreTokenizer:
+    """One per worker process: later tasks find the units known."""
+    return PreTokenizer(name)
+
+
 def distinct_pre_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
     """(token, n, pieces): every distinct pre-token, its occurrences and its pieces."""
 
@@ -91,7 +98,7 @@ def distinct_pre_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
             [pa.array(tokens.keys(), pa.string()), pa.array(tokens.values(), pa.int64())], ["token", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter, units = PreTokenizer(tokenizer), Counter()
+        cutter, units = cutter_for(tokenizer), Counter()
         for batch in batches:
             for value in batch.column(0):
                 if text := value.as_py():
@@ -102,7 +109,7 @@ def distinct_pre_tokens(docs: DataFrame, tokenizer: str) -> DataFrame:
         yield rows(units, cutter)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter = PreTokenizer(tokenizer)
+        cutter = cutter_for(tokenizer)
         for batch in batches:
             pieces = [cutter.pieces(t) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pieces, pa.int64())], ["token", "n", "pieces"])
@@ -120,7 +127,7 @@ def token_counts(docs: DataFrame, tokenizer: str = TOKENIZER, limit: int = LIMIT
     common = spark.sparkContext.broadcast({r[0]: r[1] for r in table.where(often).select("token", "pieces").collect()})
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cutter, pieces, memo = PreTokenizer(tokenizer), common.value, {}
+        cutter, pieces, memo = cutter_for(tokenizer), common.value, {}
         for batch in batches:
             sums, rest = [], []
             for value in batch.column(1):
