@@ -273,7 +273,8 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("hash"), F.col(text).alias("text"))
     ddl = ", ".join(f"{c} long" for c in ("doc_id", "hash", "anchor", "context", "left", "right", "start", "n", "at"))
     runs = written(texts.where(F.octet_length("text") >= LENGTH).mapInArrow(_anchors, ddl), "repeat-runs")
-    often = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor")
+    # aggregates that are joined back are written first: a join of two plain shuffles can split a frequent key
+    often = written(runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("anchor"), "repeat-often")
     shared = written(runs.join(often, "anchor"), "repeat-shared")
     one = F.min(F.struct("doc_id", "hash", "start", "n", "at", "left", "right"))
     classes = written(shared.groupBy("anchor", "context").agg(
@@ -286,11 +287,12 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         F.struct(F.lit(1).alias("side"), F.col("one.right").alias("value")))).alias("s")).select(
         "anchor", "context", "copies", "one", "s.*").where("value is not null")
     keys = ["anchor", "side", "value"]
-    met = sides.groupBy(*keys).agg(F.count(F.lit(1)).alias("m"), F.min("copies").alias("fewest")).where("m > 1 and fewest = 1")
-    met = written(sides.join(met.drop("fewest"), keys).select(
+    met = written(sides.groupBy(*keys).agg(F.count(F.lit(1)).alias("m"), F.min("copies").alias("fewest")).where(
+        "m > 1 and fewest = 1").drop("fewest"), "repeat-sides")
+    met = written(sides.join(met, keys).select(
         *keys, "m", "context", "one.doc_id", "one.hash", "one.start", "one.n", "one.at"), "repeat-met")
     # an anchor with few contexts is one group; else those that agree on a side are
-    crowded = met.groupBy("anchor").agg(F.count(F.lit(1)).alias("all")).where(F.col("all") > GROUP).select("anchor")
+    crowded = written(met.groupBy("anchor").agg(F.count(F.lit(1)).alias("all")).where(F.col("all") > GROUP).select("anchor"), "repeat-crowded")
     few = met.join(crowded, "anchor", "left_anti").select(
         "anchor", F.lit(-1).alias("side"), F.lit(0).cast("long").alias("value"), F.lit(1).cast("long").alias("m"),
         "context", "doc_id", "hash", "start", "n", "at").distinct()
