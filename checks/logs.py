@@ -58,7 +58,8 @@ TRADE_LOG = {
             "WHEN 'view' THEN '1' ELSE '7' END",
     "url": f"CASE event_id % 13 WHEN 0 THEN 'http://m.{SITE}.com/' "
            f"ELSE 'https://trade.{SITE}.com/' END",
-    "amt": "CAST(CAST(value AS DECIMAL(18,2)) AS STRING)",
+    "amt": "CASE event_id % 97 WHEN 3 THEN 'x' WHEN 4 THEN '1.0000001' WHEN 5 THEN '1.00006' "
+           "WHEN 6 THEN '' ELSE CAST(CAST(value AS DECIMAL(18,2)) AS STRING) END",
     "tx_rslt": "CASE WHEN event_id % 17 = 0 THEN '0' ELSE '1' END",
     "guid": "CASE WHEN event_id % 97 = 0 THEN 'NULL' ELSE concat('0x', user_id) END",
     "otrack": "CASE (event_id * 5 + user_id) % 8 WHEN 0 THEN concat(promo, '-1-2-3.0') "

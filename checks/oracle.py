@@ -423,10 +423,9 @@ add(
 add(
     "news_pv_stream",
     f""",
-n AS (SELECT CAST(ts AS BIGINT) // 3600000 * 3600000 AS hour_ms, CAST(ts AS BIGINT) AS ms, pageid, guid
+n AS (SELECT CAST(ts AS BIGINT) // 3600000 * 3600000 AS hour_ms, pageid, guid
   FROM {NEWS_ROWS} AND {COMPLETE})
-SELECT hour_ms, pageid AS page_id, count(*) AS pv, count(DISTINCT guid) AS uv FROM n
-WHERE hour_ms + 3600000 <= (SELECT max(ms) FROM n) - 600000 GROUP BY 1, 2""",
+SELECT hour_ms, pageid AS page_id, count(*) AS pv, count(DISTINCT guid) AS uv FROM n GROUP BY 1, 2""",
     "pv_log",
 )
 add(
@@ -480,15 +479,18 @@ add(
 
 # --- trades ------------------------------------------------------------------
 
+AMOUNT_OK = r"regexp_full_match(amt, '[+-]?\d{1,18}(\.\d{0,6})?')"
+AMOUNT = f"CASE WHEN {AMOUNT_OK} THEN TRY_CAST(amt AS DECIMAL(38,6)) END"
 TRADE_TESTS = [
     (f"type NOT IN ({quoted(c.REPORTED_ACTIONS)})", "OTHER_ACTION"),
     ("tx_rslt = '0'", "FAILED"),
     (f"NOT regexp_matches(url, '{LANDING}')", "INVALID_URL"),
     ("(lower(guid) IN ('', 'null') OR lower(ts) IN ('', 'null'))", "INVALID_DATA"),
+    (f"(type IN ({quoted(c.TRADE_ACTIONS)}) AND NOT {AMOUNT_OK})", "INVALID_AMOUNT"),
 ]
 TRADE_VALID = " AND ".join(f"NOT ({test})" for test, _ in TRADE_TESTS)
 TRADE_SELECT = (
-    "event_id, CAST(ts AS BIGINT) AS ts, type, url, CAST(amt AS DECIMAL(38,4)) AS amt, "
+    f"event_id, CAST(ts AS BIGINT) AS ts, type, url, {AMOUNT} AS amt, "
     "tx_rslt, guid, otrack"
 )
 IS_TRADE = f"type IN ({quoted(c.TRADE_ACTIONS)})"
@@ -512,7 +514,7 @@ u AS (SELECT code AS channel, count(*) FILTER (WHERE CASE WHEN is_group = 1 THEN
   UNION ALL SELECT '{c.ALL}', count(*) FILTER (WHERE amt > 0), sum(bills), sum(amt),
     sum(bind_card), sum(open_acct) FROM p),
 m AS (SELECT channel, {long('coalesce(persons, 0)', 'persons')},
-  {long('coalesce(bills, 0)', 'bills')}, CAST(coalesce(amt, 0) AS DECIMAL(38,4)) AS amt,
+  {long('coalesce(bills, 0)', 'bills')}, CAST(coalesce(amt, 0) AS DECIMAL(38,6)) AS amt,
   {long('coalesce(bind_card, 0)', 'bind_card')}, {long('coalesce(open_acct, 0)', 'open_acct')}
   FROM (SELECT channel FROM u UNION SELECT channel FROM {FIXED_CODES}) codes
   LEFT JOIN u USING (channel))
@@ -539,15 +541,37 @@ add("trade_total", TRADE_ROWS + f"SELECT * FROM m WHERE channel = '{c.ALL}'", "t
 TRADE_REPORT = f"SELECT {DATE}, *, {dims_sql('channel')} FROM m"
 add("trade_report", TRADE_ROWS + TRADE_REPORT, "trade_log")
 add("sink_report_table", TRADE_ROWS + TRADE_REPORT, "trade_log")
+
+
+def total_sql(action: str, name: str) -> str:
+    return (
+        f"CAST(coalesce(sum(a) FILTER (WHERE type = '{action}'), 0) AS DECIMAL(38,6)) AS {name}, "
+        f"coalesce(max(d) FILTER (WHERE type = '{action}'), 0) AS {name}_scale"
+    )
+
+
+def shown_sql(name: str) -> str:
+    text = f"CAST({name} AS VARCHAR)"
+    short = f"CASE WHEN {name}_scale = 0 THEN 7 ELSE 6 - {name}_scale END"
+    return f"left({text}, CAST(length({text}) - {short} AS BIGINT))"
+
+
 add(
     "event_total_amount",
     f"""
-SELECT pigamt, buyamt, CAST(0 AS DECIMAL(38,4)) AS other,
-  concat('pigamt:', CAST(CAST(pigamt AS DECIMAL(38,2)) AS VARCHAR),
-    ',buyamt:', CAST(CAST(buyamt AS DECIMAL(38,2)) AS VARCHAR), ',other:0') AS line
-FROM (SELECT CAST(sum(CAST(amt AS DECIMAL(38,4))) FILTER (WHERE type = '8') AS DECIMAL(38,4)) AS pigamt,
-  CAST(sum(CAST(amt AS DECIMAL(38,4))) FILTER (WHERE type = '6') AS DECIMAL(38,4)) AS buyamt
-  FROM trade_log WHERE {COMPLETE})""",
+SELECT pigamt, buyamt, CAST(0 AS DECIMAL(38,6)) AS other, n_rejected,
+  concat('pigamt:', {shown_sql('pigamt')}, ',buyamt:', {shown_sql('buyamt')}, ',other:0') AS line
+FROM (SELECT {total_sql('8', 'pigamt')}, {total_sql('6', 'buyamt')},
+    count(*) FILTER (WHERE a IS NULL) AS n_rejected
+  FROM (SELECT type, {AMOUNT} AS a,
+      CASE WHEN {AMOUNT_OK} THEN length(regexp_extract(amt, '\\.(\\d+)$', 1)) END AS d
+    FROM trade_log WHERE {COMPLETE} AND type IN ('6', '8')))""",
+    "trade_log",
+)
+add(
+    "trade_anomalies",
+    "\nSELECT count(*) FILTER (WHERE lower(otrack) NOT IN ('', 'null') AND NOT "
+    rf"regexp_full_match(otrack, '\d+-\d+-\d+-\d+\.[0-3]')) AS bad_otrack FROM trade_log WHERE {TRADE_VALID}",
     "trade_log",
 )
 add(
@@ -592,6 +616,7 @@ def first_logins_sql(rows: str) -> str:
 add("app_logins_valid", APP_ROWS + "\n" + LOGINS, "app_log")
 add("app_rejects", APP_ROWS + rejects_sql("d", APP_TESTS), "app_log")
 add("app_first_login", APP_ROWS + "\n" + first_logins_sql(LOGINS), "app_log")
+add("app_first_login_stream", APP_ROWS + "\n" + first_logins_sql(f"{LOGINS} AND {COMPLETE}"), "app_log")
 STATE = f""",
 l AS ({LOGINS}),
 o AS ({first_logins_sql(f'SELECT * FROM l WHERE ts < {STATE_CUT_MS}')}),
@@ -614,7 +639,8 @@ FROM n FULL OUTER JOIN o USING (deviceid, custno)""",
 )
 add(
     "table_count",
-    APP_ROWS + STATE + "SELECT count(*) AS n FROM o WHERE zhangji_firsttime IS NOT NULL",
+    APP_ROWS + STATE + "SELECT count(*) AS n FROM n FULL OUTER JOIN o USING (deviceid, custno) "
+    "WHERE coalesce(o.zhangji_firsttime, n.zhangji_firsttime) IS NOT NULL",
     "app_log",
 )
 
@@ -625,9 +651,16 @@ add(
     r"SELECT word, count(*) AS n FROM (SELECT unnest(string_split_regex(text, '[ \t\n\r\f]+')) "
     "AS word FROM documents) WHERE word <> '' GROUP BY word",
 )
+add("word_count_text", ORACLE_SQL["word_count"])
+add(
+    "secondary_sort_rejects",
+    "SELECT CASE WHEN o_orderkey % 101 IN (0, 1) THEN 'NOT_A_NUMBER' WHEN o_orderkey % 101 = 2 THEN 'BLANK' "
+    "ELSE 'ACCEPTED' END AS reason, count(*) AS n FROM orders GROUP BY 1",
+)
 add(
     "secondary_sort",
-    f"""WITH p AS (SELECT CAST(o_custkey AS INTEGER) AS f, CAST(o_orderkey AS INTEGER) AS s FROM orders),
+    f"""WITH p AS (SELECT CAST(o_custkey AS INTEGER) AS f, CAST(o_orderkey AS INTEGER) AS s FROM orders
+  WHERE o_orderkey % 101 > 2),
 x AS (SELECT f, s, concat(CAST(f AS VARCHAR), '\t', CAST(s AS VARCHAR)) AS line FROM p
   UNION ALL SELECT DISTINCT f, CAST(NULL AS INTEGER), '{GROUP_SEPARATOR}' FROM p)
 SELECT CASE WHEN f <= 10 THEN 0 WHEN f <= 20 THEN 1 ELSE 2 END AS bucket,

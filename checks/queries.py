@@ -18,7 +18,13 @@ from touchpath.operators import report as r
 from touchpath.plans import app, h5, misc, pages, pc, trade
 from touchpath.sources import logs as src
 from touchpath.sources import tables
-from touchpath.streaming.hourly import news_per_hour, stream_log
+from touchpath.streaming.hourly import (
+    login_summary,
+    news_of_visits,
+    news_visits,
+    store_batches,
+    stream_log,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -282,20 +288,23 @@ def news_pv_hourly(spark, sf_dir):
     return pages.news_report(rows, DT, by=("log",))
 
 
-@query
-def news_pv_stream(spark, sf_dir):
-    """The streaming report over the whole log; hours the watermark has passed."""
-    lines, out = shared_path(spark, "stream_lines"), shared_path(spark, "stream_report")
-    spark_lines(spark, sf_dir, "pv_log").select("value").write.text(lines)
-    rows = stream_log(spark, lines, src.PAGE_VIEW)
+def _streamed(spark, sf_dir, name, summarize):
+    """What a stream over the log's lines stores, all batches."""
+    lines, out = shared_path(spark, "stream_lines"), shared_path(spark, "stream_stored")
+    spark_lines(spark, sf_dir, name).select("value").write.text(lines)
     job = (
-        news_per_hour(rows).writeStream.format("parquet").option("path", out)
+        store_batches(stream_log(spark, lines, LOGS[name][1]), out, summarize)
         .option("checkpointLocation", shared_path(spark, "stream_progress"))
         .trigger(availableNow=True).start()
     )
     job.awaitTermination()
-    stored = spark.read.schema("hour timestamp, page_id string, pv bigint, uv bigint").parquet(out)
-    return stored.select(F.unix_millis("hour").alias("hour_ms"), "page_id", "pv", "uv")
+    return spark.read.parquet(out)
+
+
+@query
+def news_pv_stream(spark, sf_dir):
+    """The streaming report over the whole log, all hours."""
+    return news_of_visits(_streamed(spark, sf_dir, "pv_log", news_visits))
 
 
 @query
@@ -386,6 +395,11 @@ def event_total_amount(spark, sf_dir):
     return trade.amount_totals(parsed(spark, sf_dir, "trade_log"))
 
 
+@query
+def trade_anomalies(spark, sf_dir):
+    return trade.anomalies(trade.valid(spark_log(spark, sf_dir, "trade_log")))
+
+
 @query
 def action_dim(spark, sf_dir):
     return misc.count_by_action(spark_log(spark, sf_dir, "trade_log"))
@@ -423,6 +437,11 @@ def app_first_login(spark, sf_dir):
     return app.first_logins(app.logins(spark_log(spark, sf_dir, "app_log")))
 
 
+@query
+def app_first_login_stream(spark, sf_dir):
+    return app.first_logins(_streamed(spark, sf_dir, "app_log", login_summary))
+
+
 @query
 def app_first_login_upsert(spark, sf_dir):
     state, batch = _state_and_batch(spark, sf_dir)
@@ -431,9 +450,9 @@ def app_first_login_upsert(spark, sf_dir):
 
 @query
 def table_count(spark, sf_dir):
-    state, _ = _state_and_batch(spark, sf_dir)
+    state, batch = _state_and_batch(spark, sf_dir)
     path = shared_path(spark, "login_state")
-    state.write.parquet(path)
+    app.upsert_state(batch, state).write.parquet(path)
     stored = spark.read.parquet(path)
     return tables.count_rows(stored, F.col("zhangji_firsttime").isNotNull())
 
@@ -463,10 +482,31 @@ def word_count(spark, sf_dir):
 
 
 @query
-def secondary_sort(spark, sf_dir):
+def word_count_text(spark, sf_dir):
+    """The written word counts, read back."""
+    path = shared_path(spark, "word_count")
+    misc.write_word_count(word_count(spark, sf_dir), path)
+    fields = F.split("value", "\t")
+    return src.read_lines(spark, path).select(
+        F.get(fields, F.lit(0)).alias("word"), F.get(fields, F.lit(1)).cast("bigint").alias("n"))
+
+
+def _pair_lines(spark, sf_dir):
+    """Customer and order keys; some lines are blank, some hold no 32-bit integers."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    lines = orders.select(F.concat_ws(" ", "o_custkey", "o_orderkey").alias("value"))
-    return misc.secondary_sort(src.read_int_pairs(lines))
+    return orders.selectExpr(
+        "CASE o_orderkey % 101 WHEN 0 THEN concat('x ', o_orderkey) WHEN 1 THEN concat(o_custkey, ' 99999999999') "
+        "WHEN 2 THEN '' ELSE concat(o_custkey, ' ', o_orderkey) END AS value")
+
+
+@query
+def secondary_sort(spark, sf_dir):
+    return misc.secondary_sort(src.read_int_pairs(_pair_lines(spark, sf_dir)))
+
+
+@query
+def secondary_sort_rejects(spark, sf_dir):
+    return src.int_pair_outcomes(_pair_lines(spark, sf_dir))
 
 
 @query

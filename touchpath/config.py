@@ -102,8 +102,12 @@ APP_ANDROID = ("2002", "3002")
 APP_IOS = ("2001", "3001")
 DEVICE_ID_UNUSABLE = r"^(0+|-+|\s*)$"
 
-# money is parsed and summed with this type
-AMOUNT_TYPE = "decimal(38,4)"
+# Money is parsed and summed exactly in this type. Amounts with more decimals, or so large
+# that sums could overflow, are rejected, never rounded.
+AMOUNT_SCALE = 6
+AMOUNT_TYPE = f"decimal(38,{AMOUNT_SCALE})"
+AMOUNT_LIMIT = 10**18
+AMOUNT_TEXT = rf"^[+-]?(\d+(\.\d{{0,{AMOUNT_SCALE}}}0*)?|\.\d{{1,{AMOUNT_SCALE}}}0*)([eE]\+?\d{{1,2}})?$"
 
 
 @dataclass(frozen=True)

@@ -21,7 +21,8 @@ def secondary_sort(pairs: DataFrame) -> DataFrame:
     """Lines of the grouped listing: a separator before each first value, then its pairs.
 
     ``bucket`` is the output file of a line (first <= 10, <= 20, rest). The order is one
-    distributed sort on all columns, so a very frequent first value is split as well.
+    distributed sort on all columns, so a very frequent first value is split as well; a
+    last sort column tells equal pairs apart, so that one frequent pair is split too.
     """
     first, second = F.col("first"), F.col("second")
     listed = pairs.select(
@@ -34,8 +35,10 @@ def secondary_sort(pairs: DataFrame) -> DataFrame:
     bucket = F.when(first <= 10, 0).when(first <= 20, 1).otherwise(2)
     return (
         listed.unionByName(separators)
-        .select(bucket.alias("bucket"), "first", "second", "line")
-        .orderBy("bucket", "first", F.asc_nulls_first("second"))
+        .select(bucket.alias("bucket"), "first", "second", "line",
+                F.monotonically_increasing_id().alias("tie"))
+        .orderBy("bucket", "first", F.asc_nulls_first("second"), "tie")
+        .drop("tie")
     )
 
 

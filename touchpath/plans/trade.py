@@ -29,7 +29,10 @@ _SUMS = ("bills", "amt", "bind_card", "open_acct")
 
 
 def amount(name: str = "amt"):
-    return F.col(name).try_cast(c.AMOUNT_TYPE)
+    """Exact amount; NULL where the text is none, or would have to be rounded."""
+    text = F.trim(F.col(name).cast("string"))
+    value = text.try_cast(c.AMOUNT_TYPE)
+    return F.when(text.rlike(c.AMOUNT_TEXT) & (F.abs(value) < F.lit(c.AMOUNT_LIMIT)), value)
 
 
 def check(rows: DataFrame, site: c.Site = c.DEFAULT_SITE) -> DataFrame:
@@ -70,6 +73,13 @@ def failures(rows: DataFrame) -> DataFrame:
     return named.where("failure IS NOT NULL").groupBy("failure").agg(F.count(F.lit(1)).alias("n"))
 
 
+def anomalies(events: DataFrame) -> DataFrame:
+    """Accepted trade events whose otrack is there but badly formed."""
+    otrack = F.col("otrack")
+    bad = ~is_blank(otrack, True) & ~otrack.rlike(c.OTRACK)
+    return events.agg(F.count_if(bad).alias("bad_otrack"))
+
+
 def _sums():
     return [
         F.sum(name).cast(c.AMOUNT_TYPE if name == "amt" else "bigint").alias(name)
@@ -162,12 +172,13 @@ def amount_totals(rows: DataFrame) -> DataFrame:
     """Total saved and bought amounts, and the one-line text of the totals job.
 
     No validity test besides completeness. Text amounts keep the largest scale found in
-    the input. ``other`` is always 0: only the two actions are read.
+    the input. ``other`` is always 0: only the two actions are read. ``n_rejected`` counts
+    their rows whose amount cannot be read exactly.
     """
     complete = rows.where(F.col("n_fields") == TRADE.arity) if "n_fields" in rows.columns else rows
     wanted = complete.where(F.col("type").isin(c.ACTION_SAVE, c.ACTION_BUY_FUND))
-    digits = F.length(F.regexp_extract("amt", r"\.(\d+)$", 1))
     value = amount()
+    digits = F.when(value.isNotNull(), F.length(F.regexp_extract("amt", r"\.(\d+)$", 1)))
 
     def of(action: str):
         is_action = F.col("type") == action
@@ -180,15 +191,17 @@ def amount_totals(rows: DataFrame) -> DataFrame:
     sums = wanted.agg(
         pig.alias("pigamt"), buy.alias("buyamt"), pig_scale.alias("pig_scale"),
         buy_scale.alias("buy_scale"), F.lit(0).cast(c.AMOUNT_TYPE).alias("other"),
+        F.count_if(value.isNull()).alias("n_rejected"),
     )
 
     def text(name: str, scale: str):
         plain = F.col(name).cast("string")
-        cut = F.length(plain) - 4 + F.col(scale)
-        return F.when(F.col(scale) == 0, F.left(plain, cut - 1)).otherwise(F.left(plain, cut))
+        more = F.repeat(F.lit("0"), F.greatest(F.col(scale) - c.AMOUNT_SCALE, F.lit(0)))
+        cut = F.length(plain) - c.AMOUNT_SCALE + F.col(scale)
+        return F.left(F.concat(plain, more), F.when(F.col(scale) == 0, cut - 1).otherwise(cut))
 
     line = F.concat(
         F.lit("pigamt:"), text("pigamt", "pig_scale"), F.lit(",buyamt:"),
         text("buyamt", "buy_scale"), F.lit(",other:0"),
     )
-    return sums.select("pigamt", "buyamt", "other", line.alias("line"))
+    return sums.select("pigamt", "buyamt", "other", "n_rejected", line.alias("line"))

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 from touchpath.config import FIELD_SEPARATOR
 from touchpath.functions.text import trim_field
+from touchpath.operators import quality as q
+
+BLANK, NOT_A_NUMBER = "BLANK", "NOT_A_NUMBER"
 
 
 @dataclass(frozen=True)
@@ -83,15 +86,25 @@ def hourly_glob(root: str, dt: str, hour: int) -> str:
     return f"{root.rstrip('/')}/*{dt}.{hour}"
 
 
-def read_int_pairs(lines: DataFrame) -> DataFrame:
-    """Pairs of whitespace-separated integers; a missing second one is 0, blank lines go.
-
-    Lines whose tokens are not integers are dropped.
-    """
+def check_int_pairs(lines: DataFrame) -> DataFrame:
+    """Pairs of whitespace-separated integers with a ``reject`` reason; a missing second one is 0."""
     tokens = F.split(trim_field(F.col("value")), r"\s+")
-    first = F.get(tokens, F.lit(0)).try_cast("int")
-    second = F.get(tokens, F.lit(1))
-    return lines.select(
-        first.alias("first"),
+    first, second = F.get(tokens, F.lit(0)), F.get(tokens, F.lit(1))
+    pairs = lines.select(
+        first.try_cast("int").alias("first"),
         F.when(second.isNull(), F.lit(0)).otherwise(second.try_cast("int")).alias("second"),
-    ).where(F.col("first").isNotNull() & F.col("second").isNotNull())
+        (F.coalesce(first, F.lit("")) == "").alias("blank"),
+    )
+    return pairs.withColumn("reject", q.first_failure(
+        (F.col("blank"), BLANK),
+        (F.col("first").isNull() | F.col("second").isNull(), NOT_A_NUMBER),
+    )).drop("blank")
+
+
+def read_int_pairs(lines: DataFrame) -> DataFrame:
+    """The pairs of the lines that hold some; `int_pair_outcomes` counts the others."""
+    return q.accepted(check_int_pairs(lines))
+
+
+def int_pair_outcomes(lines: DataFrame) -> DataFrame:
+    return q.count_outcomes(check_int_pairs(lines))
