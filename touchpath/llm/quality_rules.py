@@ -178,10 +178,9 @@ def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> Data
     """The rows of ``docs`` that pass, all their columns unchanged; texts are not shuffled twice."""
     kept = [F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(docs.columns)]
     named = docs.select(*kept, "doc_id", "text", F.col(stratum).alias("__stratum"))
-    featured = with_features(named)
-    cutoffs = written(thresholds(narrow(featured, stratum="__stratum"), labels), "quality-cutoffs")
-    judged = with_verdict(
-        featured.select(*[f"__c{i}" for i in range(len(kept))], "doc_id", _stratum("__stratum").alias("stratum"), "q.*"),
-        cutoffs, F.col("doc_id"),
-    )
+    own = [f"__c{i}" for i in range(len(kept))]
+    featured = written(with_features(named).select(
+        *own, "doc_id", _stratum("__stratum").alias("stratum"), "q.*"), "quality-featured")  # measured once
+    cutoffs = written(thresholds(featured.drop(*own), labels), "quality-cutoffs")
+    judged = with_verdict(featured, cutoffs, F.col("doc_id"))
     return judged.where("kept").select(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(docs.columns)])
