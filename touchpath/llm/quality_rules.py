@@ -39,7 +39,7 @@ RULES: dict[str, tuple[str, tuple[float, ...]]] = {
 
 def _covered_words(hashes: Column) -> Column:
     """Words inside windows whose hash occurs at least twice."""
-    ordered = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    ordered = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
 
     def twice(s: Column) -> Column:
         def same(j: Column, h: Column) -> Column:
@@ -52,7 +52,7 @@ def _covered_words(hashes: Column) -> Column:
         ))
         return F.aggregate(parts, F.lit(0), lambda a, x: a + x)
 
-    positions = bound(ordered, lambda s: F.array_sort(F.transform(twice(s), lambda x: x["i"])))
+    positions = bound(ordered, lambda s: F.sort_array(F.transform(twice(s), lambda x: x["i"])))
     return bound(positions, covered)
 
 
