@@ -69,31 +69,47 @@ class WordEncoder:
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(tokenizer_path(name))
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         size = self.library.get_vocab_size(with_added_tokens=True)
         self.ends = np.zeros(max(size, END_ID + 1), bool)
         for token, i in self.library.get_vocab().items():
             mark = token.removesuffix("</w>")
             self.ends[i] = bool(mark) and set(mark) <= set(".!?\"')") and bool(set(mark) & set(".!?"))
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Ids of each word, all words in one call of the library."""
+        found = self.library.encode(words, is_pretokenized=True, add_special_tokens=False)
+        ids = np.array(found.ids, "<u4").tobytes()
+        ends = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(words)), side="right").tolist()
+        return [ids[4 * a:4 * b] for a, b in zip([0, *ends], ends)]
 
     def __call__(self, text: str) -> np.ndarray:
         if any(mark in text for mark in self._ODD):
-            return np.frombuffer(self._ids([text])[0], "<u4")
+            return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
         words = text.split()
-        memo = self.memo
         try:
-            packed = b"".join([memo[w] for w in words])
+            packed = b"".join([self.memo[w] for w in words])
         except KeyError:
-            if len(memo) > MEMO:
-                memo.clear()
-            new = [w for w in set(words) if w not in memo]
-            memo.update(zip(new, self._ids(new)))
+            self._learn(set(words))
+            memo = self.memo
             packed = b"".join([memo[w] for w in words])
         return np.frombuffer(packed, "<u4")
 
+    def _learn(self, words: set[str]) -> None:
+        """Put ``words`` into the memo; a full memo becomes the older one, which gives back what is used again."""
+        if len(self.memo) > MEMO:
+            self.older, self.memo = self.memo, {}
+        memo, older = self.memo, self.older
+        new = []
+        for w in words:
+            if w not in memo:
+                if (known := older.get(w)) is None:
+                    new.append(w)
+                else:
+                    memo[w] = known
+        if new:
+            memo.update(zip(new, self._ids(new)))
+
 
 @lru_cache(maxsize=2)
 def encoder_for(name: str) -> WordEncoder:
