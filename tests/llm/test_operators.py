@@ -362,3 +362,14 @@ def test_pipeline(spark, docs, labels, tmp_path):
     out = rows(corpus_pipeline.run(spark, str(tmp_path)))
     assert out and {p["doc_id"] for p in out} == {r["doc_id"] for r in rows(table)}
     json.dumps(out)
+
+
+def test_word_encoder_equals_the_library_when_its_memo_overflows(monkeypatch):
+    monkeypatch.setattr(packing, "MEMO", 3)
+    encoder = packing.WordEncoder(packing.TOKENIZER)
+    texts = [
+        "one two three four five six", "two seven two one", "", "  \t\n", "don't it's 12 a.b! Ǻ é",
+        "日本語 텍스트 one", "x y z w", "a\x1cb a", "<|endoftext|> one", "six five four three two one",
+    ]
+    for text in texts * 2:
+        assert encoder(text).tolist() == encoder.library.encode(text, add_special_tokens=False).ids
