@@ -141,6 +141,15 @@ def test_keep_one(docs):
     assert len(ids) == len(set(ids)) and {7, None} <= set(ids) and not {8, 9} & set(ids)
 
 
+def test_keep_one_keeps_unrelated_texts_that_share_an_id_or_have_none(spark):
+    texts = ["the quick brown fox jumps over it", "a wholly different sentence stands here", "third text of other words again"]
+    made = [(i, t, "en", "a", 1, None, None, None) for i in (None, 7) for t in texts]
+    made += [(None, texts[0] + " " + str(i) * 9, "en", "a", 1, None, None, None) for i in range(3)]
+    kept = rows(simhash.keep_one(spark.createDataFrame(made, DOCS)))
+    assert {r["text"] for r in kept} >= set(texts) and len({r["text"] for r in kept}) == 6
+    assert sorted((r["doc_id"], r["text"]) for r in kept if r["doc_id"]) == sorted((7, t) for t in texts)
+
+
 def test_pii(docs, nothing):
     got = {r["doc_id"]: r for r in rows(pii.surrogate_report(docs, "key"))}
     before = {d.doc_id: d.text for d in docs.select("doc_id", "text").collect()}

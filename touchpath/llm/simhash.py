@@ -117,14 +117,18 @@ def links(prints: DataFrame, max_list: int = MAX_LIST) -> DataFrame:
 
 
 def grouped(docs: DataFrame, max_list: int = MAX_LIST) -> DataFrame:
-    """id, text_hash, fp and ``component`` (smallest id reachable), one row per input row."""
+    """id, text_hash, fp, ``component`` (smallest id reachable) and ``root``, one row per input row.
+
+    ``root`` is the smallest fingerprint of the component: components may share an id, or
+    have none, but never a root.
+    """
     rows = written(with_fingerprints(docs), "simhash-rows")
     distinct = written(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
     joined = components(links(distinct.select("fp"), max_list), "simhash-components")
     classes = distinct.join(joined, distinct["fp"] == joined["node"], "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("component"))
-    names = classes.groupBy("component").agg(F.min("least").alias("name"))
-    named = classes.join(names, "component").select("fp", F.col("name").alias("component"))
+        "fp", "least", F.coalesce("component", "fp").alias("root"))
+    names = classes.groupBy("root").agg(F.min("least").alias("component"))
+    named = classes.join(names, "root").select("fp", "component", "root")
     return rows.join(named, "fp")
 
 
@@ -137,16 +141,16 @@ def near_duplicates(docs: DataFrame, max_list: int = MAX_LIST) -> DataFrame:
     )
 
 
-def keep_one(docs: DataFrame, max_list: int = MAX_LIST) -> DataFrame:
-    """The rows of ``docs`` without all but one of each component, columns unchanged.
+def one_of_each(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without all but one of each ``root``, columns unchanged.
 
-    The row with the smallest id stays; of different texts under that id, the one with
-    the smaller hash; of rows equal in id and text, one.
+    ``members``: id, text_hash, root. The row with the smallest id stays, one without an id
+    only if all are; of different texts under that id, the one with the smaller hash; of
+    rows equal in id and text, one.
     """
     stay = written(
-        grouped(docs, max_list).where(F.col("id").eqNullSafe(F.col("component")))
-        .groupBy("id", "component").agg(F.min("text_hash").alias("text_hash"))
-        .select(F.col("id").alias("__id"), F.col("text_hash").alias("__hash")).distinct(),
+        members.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("m"))
+        .select(F.col("m.id").alias("__id"), F.col("m.text_hash").alias("__hash")),
         "simhash-kept",
     )
     rows = docs.select(
@@ -156,3 +160,8 @@ def keep_one(docs: DataFrame, max_list: int = MAX_LIST) -> DataFrame:
     on = rows["id"].eqNullSafe(stay["__id"]) & (rows["text_hash"] == stay["__hash"])
     kept = rows.join(stay.hint("shuffle_hash"), on, "left_semi")
     return kept.dropDuplicates(["id", "text_hash"]).select("row.*")
+
+
+def keep_one(docs: DataFrame, max_list: int = MAX_LIST) -> DataFrame:
+    """The rows of ``docs`` without all but one of each component, columns unchanged."""
+    return one_of_each(docs, grouped(docs, max_list))
