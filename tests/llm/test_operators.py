@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from touchpath.llm import (mixing, packing, pii, quality_rules, simhash, suffix_dedup, suffix_tree,
+from touchpath.llm import (mixing, near_copies, packing, pii, quality_rules, simhash, suffix_dedup, suffix_tree,
                            token_counts, vector_graph, warc)
 from touchpath.llm.common import components
 from touchpath.llm.packing import tokenizer_path
@@ -150,6 +150,44 @@ def test_keep_one_keeps_unrelated_texts_that_share_an_id_or_have_none(spark):
     assert sorted((r["doc_id"], r["text"]) for r in kept if r["doc_id"]) == sorted((7, t) for t in texts)
 
 
+def jaccard(a, b, n=5):
+    def grams(text):
+        w = (text or "").lower().split()
+        return {tuple(w[i:i + n]) for i in range(max(1, len(w) - n + 1))} if w else set()
+    a, b = grams(a), grams(b)
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+@pytest.mark.parametrize("max_list", [near_copies.MAX_LIST, 2])
+def test_near_duplicate_stage_takes_five_words_and_similarity(spark, monkeypatch, max_list):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    texts = [None, "", "a b", "A  b", "a c"]
+    for _ in range(25):
+        base = [word() for _ in range(200)]
+        near, far = base[:], base[:]
+        near[rng.randrange(20, 180)] = word()
+        for at in range(5, 200, 8):
+            far[at] = word()
+        texts += [" ".join(x) for x in (base, near, far)]
+    hot = [word() for _ in range(150)]
+    for _ in range(40):
+        hot_copy = hot[:]
+        hot_copy[rng.randrange(150)] = word()
+        texts.append(" ".join(hot_copy))
+    group = list(range(len(texts)))
+    for _ in range(3):
+        for i, a in enumerate(texts):
+            for j in range(i):
+                if group[i] != group[j] and jaccard(a, texts[j]) >= 0.8:
+                    group[i] = group[j] = min(group[i], group[j])
+    df = spark.createDataFrame([(i, t, "en", "a", 1, None, None, None) for i, t in enumerate(texts)], DOCS)
+    monkeypatch.setattr(near_copies, "MAX_LIST", max_list)
+    monkeypatch.setattr(near_copies.keep_one, "__defaults__", (5, 80, max_list))
+    kept = rows(corpus_pipeline.near_duplicates(spark, df, ""))
+    assert sorted(r["doc_id"] for r in kept) == sorted(set(group))
+
+
 def test_pii(docs, nothing):
     got = {r["doc_id"]: r for r in rows(pii.surrogate_report(docs, "key"))}
     before = {d.doc_id: d.text for d in docs.select("doc_id", "text").collect()}

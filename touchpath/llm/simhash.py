@@ -38,20 +38,25 @@ MAX_LIST = 64
 _SLICE = 1 << 16
 
 
-def fingerprint(text: str | None) -> int:
-    """Unsigned 64-bit SimHash of one text."""
+def shingles(text: str | None, span: int = SPAN) -> np.ndarray:
+    """XXH64 of each run of ``span`` words, of the whole text if it has no more words than that."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return np.zeros(0, ">u8")
     joined = b" ".join(words)
-    if len(words) <= SPAN:
-        return xxhash.xxh64_intdigest(joined, SEED)
+    if len(words) <= span:
+        return np.array([xxhash.xxh64_intdigest(joined, SEED)], ">u8")
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
-    starts = np.concatenate(([0], ends[:-1] + 1))[: len(words) - SPAN + 1].tolist()
+    starts = np.concatenate(([0], ends[:-1] + 1))[: len(words) - span + 1].tolist()
     digest = xxhash.xxh64_intdigest
-    n = len(starts)
-    spans = zip(starts, ends[SPAN - 1:].tolist())
-    hashes = np.fromiter((digest(joined[a:b], SEED) for a, b in spans), ">u8", n)
+    spans = zip(starts, ends[span - 1:].tolist())
+    return np.fromiter((digest(joined[a:b], SEED) for a, b in spans), ">u8", len(starts))
+
+
+def fingerprint(text: str | None) -> int:
+    """Unsigned 64-bit SimHash of one text."""
+    hashes = shingles(text)
+    n = len(hashes)
     votes = np.zeros(64, np.int64)
     for i in range(0, n, _SLICE):
         part = hashes[i:i + _SLICE].view(np.uint8).reshape(-1, 8)
