@@ -378,6 +378,50 @@ def test_vector_blocks(spark, monkeypatch):
     assert all((r["n_links"], r["component_id"]) == (89, 0) for r in got)
 
 
+def grouped_vectors(group, pairs, width, size=64):
+    """A dense group and separate pairs around it, at cosine 0.99 in a pair and 0.9 or less to all others."""
+    rng = np.random.default_rng(4)
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    centre = unit(rng.normal(size=size))
+    around = unit(rng.normal(size=(pairs, size)))
+    first = unit(centre + width * around)
+    second = unit(first + 0.1 * unit(rng.normal(size=(pairs, size))))
+    return np.concatenate((unit(centre + 0.01 * unit(rng.normal(size=(group, size)))), first, second))
+
+
+def test_vector_search_leaves_a_dense_group():
+    x = grouped_vectors(100, 130, 1.0)
+    sims = x @ x.T
+    within = sims >= 0.95
+    np.fill_diagonal(within, False)
+    assert within.sum() == 100 * 99 + 2 * 130
+    found = vector_graph.range_search(sims, vector_graph.robust_prune(sims), 0.95)
+    assert (found == within).all()
+
+
+def test_vectors_of_a_shard_whose_search_fails_are_compared(spark, monkeypatch):
+    x = grouped_vectors(20, 15, 1.0)
+    table = [(i, v.tolist()) for i, v in enumerate(x)] + [(1000 + i, x[0].tolist()) for i in range(300)]
+    df = spark.createDataFrame(table, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(vector_graph, "range_search", lambda sims, lists, cosine: np.zeros(sims.shape, bool))
+    got = {r["vec_id"]: r["n_links"] for r in rows(vector_graph.near_vectors(df))}
+    assert [got[i] for i in range(50)] == [319] * 20 + [1] * 30
+
+
+def test_vector_audit_counts_queries_not_copies(spark, monkeypatch):
+    x = grouped_vectors(1, 60, 1.0)
+    ids = [100 * i for i in range(len(x))]
+    table = [(i, v.tolist()) for i, v in zip(ids, x)] + [(100_000 + 100 * i, x[0].tolist()) for i in range(4000)]
+    df = spark.createDataFrame(table, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(vector_graph, "PER_CLUSTER", 2)
+
+    def apart(sample, k, *_):  # eight centres at every vector, so no pair has a cluster in common
+        return sample[:1] if k == 1 else np.repeat(sample, 8, axis=0)
+    monkeypatch.setattr(vector_graph, "centres", apart)
+    got = {r["vec_id"]: r["n_links"] for r in rows(vector_graph.near_vectors(df))}
+    assert sum(got[i] for i in ids[1:]) >= 0.97 * 120 and got[0] == 4000
+
+
 @pytest.mark.parametrize("group", [1024, 2])
 def test_repeats(docs, nothing, monkeypatch, group):
     monkeypatch.setattr(suffix_dedup, "GROUP", group)

@@ -8,14 +8,19 @@
 3. In each shard every vector gets its nearest others, robustly pruned (a candidate goes
    if a chosen neighbour is much closer to it than the vector is). The adjacency lists of
    a vector are united over all its shards.
-4. Each vector is searched for in its shards: greedily from the medoid along the united
-   lists with a beam, then the range is widened along all links that stay within the
-   cosine, until nothing new is found. What is reported is verified in double precision.
-5. Recall is audited against brute force for a bounded set of vectors (ids divisible by
-   100, at most ``AUDIT``); if it is below ``RECALL`` the graph is built with more overlap.
-
-A pair that several shards could find is counted in the first of them only. Shards
-return sums per vector and links to a local root, never pairs.
+4. Each vector is searched for in its shards: greedily with a beam along the united lists
+   and their reverse links, from itself and from the medoid of every connected part of the
+   lists, so a dense group cannot hide the rest. Then the range is widened along all links
+   that stay within the cosine, until nothing new is found. A shard holds the cosines of
+   all its vectors; where the search fell short of them, the exact comparison is taken.
+   What is reported is verified in double precision.
+5. Recall is audited against brute force for a bounded set of distinct vectors (those with
+   an id divisible by 100, at most ``AUDIT``), as found over exact per vector, averaged over
+   vectors with a link; copies do not count. If it is below ``RECALL`` the graph is built
+   with more overlap, and after the last overlap every two blocks are compared.
+
+A pair that several shards could find is counted in the first of them only, which is
+complete by step 4. Shards return sums per vector and links to a local root, never pairs.
 
 Vectors that are NULL, empty, zero or hold NULL, NaN or infinite components link with
 nothing. Vectors of different length do not link. Rows with a NULL id link with nothing
@@ -87,17 +92,41 @@ def _padded(lists: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _entries(sims: np.ndarray, link: np.ndarray) -> np.ndarray:
+    """The medoid of each connected part of a symmetric graph."""
+    n = len(sims)
+    part = np.arange(n)
+    i, j = np.nonzero(link)
+    while True:
+        low = part.copy()
+        np.minimum.at(low, i, part[j])
+        low = low[low]
+        if (low == part).all():
+            break
+        part = low
+    total = sims.sum(axis=1)
+    order = np.lexsort((-total, part))
+    return order[np.concatenate(([True], part[order][1:] != part[order][:-1]))]
+
+
 def range_search(sims: np.ndarray, lists: np.ndarray, cosine: float) -> np.ndarray:
     """Which vectors each vector finds within the cosine, as a boolean matrix."""
     n = len(sims)
     rows = np.arange(n)
-    start = int(np.argmax(sims.sum(axis=1)))
-    seen = np.zeros((n, n), bool)
-    seen[:, start] = True
+    link = np.zeros((n, n), np.float32)
+    i, j = np.nonzero(lists >= 0)
+    link[i, lists[i, j]] = 1
+    link = np.maximum(link, link.T)
+    entries = _entries(sims, link)
+    lists = _padded([np.flatnonzero(x) for x in link])
+    seen = np.eye(n, dtype=bool)
+    seen[:, entries] = True
     beam = np.full((n, BEAM), -1)
-    beam[:, 0] = start
     score = np.full((n, BEAM), -np.inf)
-    score[:, 0] = sims[:, start]
+    best = entries[np.argsort(-sims[:, entries], axis=1, kind="stable")[:, :BEAM - 1]]
+    best = np.where(best == rows[:, None], -1, best)
+    beam[:, 0], beam[:, 1:1 + best.shape[1]] = rows, best
+    score[:, 0], score[:, 1:1 + best.shape[1]] = sims[rows, rows], np.where(best >= 0, sims[rows[:, None], best], -np.inf)
     opened = np.zeros((n, BEAM), bool)
     while True:
         open_score = np.where(opened | (beam < 0), -np.inf, score)
@@ -118,10 +147,6 @@ def range_search(sims: np.ndarray, lists: np.ndarray, cosine: float) -> np.ndarr
         beam[a], score[a], opened[a] = (np.take_along_axis(x, top, 1) for x in (ids, values, flags))
     within = sims >= cosine
     found = seen & within
-    link = np.zeros((n, n), np.float32)
-    i, j = np.nonzero(lists >= 0)
-    link[i, lists[i, j]] = 1
-    link = np.maximum(link, link.T)
     while True:
         more = (found.astype(np.float32) @ link > 0) & within & ~found
         if not more.any():
@@ -158,7 +183,10 @@ def _search(cosine: float):
             return order[at[ordered[at] == near]]
         sims = x @ x.T
         found = range_search(sims, _padded([local(n) for n in part["near"]]), cosine - SLACK)
-        a, b = np.nonzero(np.triu(found))
+        within = sims >= cosine - SLACK
+        if (within & ~found).sum() > len(ids):  # beyond the diagonal
+            found = within
+        a, b = np.nonzero(np.triu(found, 1))
         exact = np.einsum("ij,ij->i", x[a], x[b]) >= cosine - 1e-15
         a, b = a[exact], b[exact]
         # counted here if no earlier cluster has both, and by blocks
@@ -177,7 +205,8 @@ def _search(cosine: float):
             if (low_root == root).all():
                 break
             root = low_root
-        return pd.DataFrame({"cid": ids, "links": links.astype(np.int64), "root": ids[root]})
+        near = np.bincount(a, minlength=len(ids)) + np.bincount(b, minlength=len(ids))
+        return pd.DataFrame({"cid": ids, "links": links.astype(np.int64), "near": near, "root": ids[root]})
     return search
 
 
@@ -190,11 +219,11 @@ def _prepared(embeddings: DataFrame, vec_id: str, vector: str) -> DataFrame:
         F.when(fine, v).alias("vector")), "vectors")
 
 
-def _linked(classes: DataFrame, count: int, overlap: int, cosine: float) -> DataFrame:
-    """(cid, links, root) partial results of all shards."""
+def _linked(classes: DataFrame, count: int, overlap: int | None, cosine: float) -> DataFrame:
+    """(cid, links, near, root) partial results of all shards; without overlap, of all pairs of blocks."""
     spark = classes.sparkSession
     sample = classes.select("vector", F.xxhash64("cid").alias("h")).orderBy("h").limit(SAMPLE).toPandas()
-    k = min(MAX_CLUSTERS, max(1, math.ceil(count / PER_CLUSTER)))
+    k = min(MAX_CLUSTERS, max(1, math.ceil(count / PER_CLUSTER))) if overlap else 1
     by_length = {}
     for length, part in sample.groupby(sample["vector"].map(len)):
         by_length[int(length)] = centres(_unit(part["vector"]), max(1, round(k * len(part) / len(sample))))
@@ -222,11 +251,10 @@ def _linked(classes: DataFrame, count: int, overlap: int, cosine: float) -> Data
     shard = ["length", "cluster", "low", "high"]
     lists = members.groupBy(*shard).applyInPandas(_build, "cid long, near array<long>")
     united = lists.groupBy("cid").agg(F.collect_set("near").alias("near"))
-    return members.join(united, "cid").groupBy(*shard).applyInPandas(_search(cosine), "cid long, links long, root long")
+    return members.join(united, "cid").groupBy(*shard).applyInPandas(_search(cosine), "cid long, links long, near long, root long")
 
 
 def _result(rows: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
-    found = written(found, "vector-links")
     sums = found.groupBy("cid").agg(F.sum("links").alias("links"))
     joined = components(found.where("cid <> root").select(F.col("cid").alias("a"), F.col("root").alias("b")), "vector-components")
     named = classes.select("cid", "least").join(joined, classes["cid"] == joined["node"], "left").withColumn(
@@ -242,25 +270,30 @@ def _result(rows: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
         F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
 
 
-def brute_links(rows: DataFrame, cosine: float = COSINE, limit: int = AUDIT) -> DataFrame:
-    """(vec_id, exact) links by brute force, for at most ``limit`` ids divisible by 100, against all rows."""
-    asked = rows.where("vector is not null and vec_id % 100 = 0").select("row", "vec_id", "vector").orderBy(
-        F.xxhash64("vec_id")).limit(limit).toPandas()
+def brute_links(classes: DataFrame, cosine: float = COSINE, limit: int = AUDIT) -> DataFrame:
+    """(cid, exact) other distinct vectors within the cosine by brute force, for at most ``limit`` audited ones."""
+    asked = classes.where("audited").select("cid", "vector").orderBy(F.xxhash64("cid")).limit(limit).toPandas()
     asked = asked.assign(length=asked["vector"].map(len)) if len(asked) else asked.assign(length=[])
-    groups = {int(n): (g["row"].to_numpy(), _unit(g["vector"])) for n, g in asked.groupby("length")}
-    shared = rows.sparkSession.sparkContext.broadcast(groups)
-    ids = rows.sparkSession.createDataFrame([(int(r), int(v)) for r, v in zip(asked["row"], asked["vec_id"])], "row long, vec_id long")
+    groups = {int(n): (g["cid"].to_numpy(), _unit(g["vector"])) for n, g in asked.groupby("length")}
+    shared = classes.sparkSession.sparkContext.broadcast(groups)
 
     def count(parts):
         for part in parts:
             for length, some in part.groupby(part["vector"].map(len)):
                 if length in shared.value:
                     own, x = shared.value[length]
-                    hit = (x @ _unit(some["vector"]).T >= cosine) & (own[:, None] != some["row"].to_numpy())
-                    yield pd.DataFrame({"row": own, "exact": hit.sum(axis=1)})
+                    hit = (x @ _unit(some["vector"]).T >= cosine) & (own[:, None] != some["cid"].to_numpy())
+                    yield pd.DataFrame({"cid": own, "exact": hit.sum(axis=1)})
+
+    counted = classes.select("cid", "vector").mapInPandas(count, "cid long, exact long")
+    return counted.groupBy("cid").agg(F.sum("exact").alias("exact"))
+
 
-    counted = rows.where("vector is not null").select("row", "vector").mapInPandas(count, "row long, exact long")
-    return counted.groupBy("row").agg(F.sum("exact").alias("exact")).join(ids, "row").select("vec_id", "exact")
+def recall(exact: DataFrame, found: DataFrame) -> float | None:
+    """Found over exact distinct neighbours, averaged over the audited vectors that have one."""
+    near = exact.where("exact > 0").join(found.select("cid", "near"), "cid", "left").groupBy("cid", "exact").agg(
+        F.coalesce(F.sum("near"), F.lit(0)).alias("near"))
+    return near.agg(F.avg(F.least("near", "exact") / F.col("exact"))).first()[0]
 
 
 def near_vectors(
@@ -269,15 +302,14 @@ def near_vectors(
     """vec_id, n_links, component_id, kept, one row per input row."""
     rows = _prepared(embeddings, vec_id, vector)
     classes = written(rows.where("vector is not null").groupBy("vector").agg(
-        F.min("row").alias("cid"), F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("least")), "vector-classes")
+        F.min("row").alias("cid"), F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("least"),
+        F.max(F.col("vec_id") % 100 == 0).alias("audited")), "vector-classes")
     count = classes.count()
-    exact = written(brute_links(rows, cosine), "vector-audit")
-    for overlap in (2, 4, 8):
-        found = _linked(classes.select("cid", "vector", "copies"), count, overlap, cosine) if count else (
-            classes.select("cid", F.col("copies").alias("links"), F.col("cid").alias("root")))
-        result = written(_result(rows, classes, found), "vector-result")
-        hit, all_ = exact.join(result.where("vec_id % 100 = 0"), "vec_id").agg(
-            F.sum(F.least("n_links", "exact")), F.sum("exact")).first()
-        if not all_ or hit >= RECALL * all_:
+    exact = written(brute_links(classes, cosine), "vector-audit")
+    for overlap in (2, 4, 8, None):
+        found = written(_linked(classes.select("cid", "vector", "copies"), count, overlap, cosine) if count else (
+            classes.select("cid", F.col("copies").alias("links"), F.col("copies").alias("near"), F.col("cid").alias("root"))), "vector-links")
+        share = recall(exact, found)
+        if share is None or share >= RECALL:
             break
-    return result
+    return written(_result(rows, classes, found), "vector-result")
