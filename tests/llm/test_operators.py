@@ -99,6 +99,27 @@ def test_thresholds_reject_only_what_is_proven(spark):
     assert all(cuts["en"][f"cut_{r}"] is not None for r in quality_rules.RULES)
 
 
+def test_small_strata_get_their_own_or_the_pooled_cutoffs(spark):
+    feature = "doc_id long, stratum string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, base_failed boolean"
+    sizes = {"en": 2000, "es": 307, "xx": 20, "yy": 0, "zz": 400}
+    made, good, at = [], [], 0
+    for lang, n in sizes.items():
+        for i in range(n + 1):  # the last one is bad and unlabelled
+            bad = i == n or lang == "zz" and i % 2
+            made.append((at, lang, 100, 500, 40 if i == n else 200 if bad else 1, 0, 0, 5, False))
+            good += [(at, 1, 0)] * (i < n)
+            at += 1
+    features = spark.createDataFrame(made, feature)
+    cuts = quality_rules.cutoffs_for(features, spark.createDataFrame(good, LABELS))
+    assert {r["stratum"]: (r["proven_on"], r["cut_symbols"]) for r in rows(cuts)} == {
+        "en": ("stratum", 0.1), "es": ("stratum", 0.1), "xx": (None, None), "yy": (None, None), "zz": (None, None)}
+    calm = features.where("stratum <> 'zz'")
+    cuts = quality_rules.cutoffs_for(calm, spark.createDataFrame(good, LABELS))
+    assert {r["stratum"]: r["proven_on"] for r in rows(cuts)} == {"en": "stratum", "es": "stratum", "xx": "all strata", "yy": "all strata"}
+    judged = rows(quality_rules.with_verdict(calm, cuts, F.col("doc_id")))
+    assert [r["n_symbols"] for r in judged if not r["kept"]] == [40] * 4
+
+
 def plain_fingerprint(text):
     w = (text or "").encode().lower().split()
     grams = [b" ".join(w[i:i + 3]) for i in range(max(1, len(w) - 2))] if w else []

@@ -1,15 +1,20 @@
 """Quality rules with risk-controlled thresholds, on DataFrame functions only.
 
 Each rule compares one measure of a document with a cutoff. Cutoffs are not set by hand:
-labelled documents of good quality are the holdout, and per stratum and rule the
-strictest cutoff is taken whose rate of falsely rejected good documents is proven to be
-small. The proof is an exact binomial test: with ``n`` good documents of which ``k``
-would be rejected, the cutoff passes if ``P(Binomial(n, alpha) <= k)`` is at most its
-share of ``delta``. ``delta`` is divided over strata and rules (Bonferroni); the cutoffs
-of one rule are tested from the mildest on and end at the first that fails (fixed
-sequence), which needs no further correction. ``alpha`` is divided over the rules, so a
-stratum loses at most ``alpha`` of its good documents with probability ``1 - delta``.
-A rule without a proven cutoff rejects nothing.
+labelled documents of good quality are the holdout. Rule sets (a cutoff for each rule)
+are ordered from mild to strict, and per stratum the strictest set is taken whose joint
+rate of falsely rejected good documents is proven to be small. The proof is an exact
+binomial test: with ``n`` good documents of which ``k`` would be rejected by any rule, the
+set passes if ``P(Binomial(n, alpha) <= k)`` is at most its share of ``delta``. ``delta`` is
+divided over the strata and the pool (Bonferroni); the sets of one stratum are tested from
+the mildest on and end at the first that fails (fixed sequence), which needs no further
+correction. So a stratum loses at most ``alpha`` of its good documents, for all strata
+together with probability ``1 - delta``.
+
+A stratum too small for any proof (even without a false rejection) takes the set proven on
+the good documents of all strata; ``proven_on`` of its cutoffs says 'all strata', and the
+bound holds for the pool, not for the stratum alone. A stratum large enough whose mildest
+set fails rejects nothing beyond the base rules.
 
 NULL and empty texts have no words and fail the base rules. A NULL stratum counts as ''.
 Labels with NULL quality are ignored; a document with several labels is good if one says
@@ -36,6 +41,8 @@ RULES: dict[str, tuple[str, tuple[float, ...]]] = {
     "short_words": ("- word_chars / n_words", (-1.5, -2.0, -2.5, -3.0, -3.5)),
 }
 
+STEPS = 5
+
 
 def _covered_words(hashes: Column) -> Column:
     """Words inside windows whose hash occurs at least twice."""
@@ -127,34 +134,59 @@ def binomial_tail(n: Column, k: Column, p: float) -> Column:
     return F.when(k >= n * p, F.lit(1.0)).otherwise(F.exp(top) * total)
 
 
+def _tested(features: DataFrame, labels: DataFrame, alpha: float, delta: float) -> DataFrame:
+    """One row per stratum with good labels and one for the pool (``pool``): ``enough`` labels for a proof, ``step`` proven."""
+    good = (
+        labels.where(F.col("quality").isNotNull()).groupBy("doc_id")
+        .agg(F.max("quality").alias("quality")).where("quality = 1").select("doc_id")
+    )
+    held = features.where("not base_failed").join(good, "doc_id", "left_semi")
+
+    def rejected(step: int) -> Column:
+        tests = [F.coalesce(_measure(rule) > cuts[step], F.lit(False)) for rule, (_, cuts) in RULES.items()]
+        return F.exists(F.array(*tests), lambda x: x)
+    steps = [F.count_if(rejected(i)).alias(f"k_{i}") for i in range(STEPS)]
+    own = held.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *steps)
+    own = own.withColumn("strata", F.count(F.lit(1)).over(Window.partitionBy()))
+    pool = F.struct(F.lit(None).cast("string").alias("stratum"), F.lit(True).alias("pool"))
+    each = own.select(F.explode(F.array(F.struct("stratum", F.lit(False).alias("pool")), pool)).alias("s"), *own.columns[1:])
+    counts = each.groupBy("s.stratum", "s.pool").agg(
+        F.max("strata").alias("strata"), F.sum("n").alias("n"), *[F.sum(f"k_{i}").alias(f"k_{i}") for i in range(STEPS)])
+    share = F.lit(delta) / (F.col("strata") + 1)
+    passed = F.array(*[binomial_tail(F.col("n"), F.col(f"k_{i}"), alpha) <= share for i in range(STEPS)])
+    failed = F.array_position(passed, F.lit(False)).cast("int")
+    return counts.select(
+        "stratum", "pool", (F.pow(F.lit(1 - alpha), F.col("n")) <= share).alias("enough"),
+        (F.when(failed == 0, STEPS).otherwise(failed - 1) - 1).alias("step"))
+
+
+def _cuts(step: Column) -> list[Column]:
+    """``cut_<rule>`` of a step, NULL where it is negative or NULL."""
+    return [F.when(step >= 0, F.get(F.array(*map(F.lit, cuts)), step)).alias(f"cut_{rule}") for rule, (_, cuts) in RULES.items()]
+
+
 def thresholds(
     features: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA
 ) -> DataFrame:
-    """One row per stratum with ``cut_<rule>``, NULL where no cutoff is proven.
+    """One row with ``cut_<rule>`` per stratum that has a proven rule set of its own.
 
     ``features``: doc_id, stratum and the base columns; ``labels``: doc_id, quality.
     """
-    good = (
-        labels.where(F.col("quality").isNotNull()).groupBy("doc_id")
-        .agg(F.max("quality").alias("quality")).where("quality = 1").select("doc_id")
-    )
-    held = features.where("not base_failed").join(good, "doc_id", "left_semi")
-    counts = held.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *[
-        F.count_if(_measure(rule) > cut).alias(f"{rule}_{i}")
-        for rule, (_, cuts) in RULES.items() for i, cut in enumerate(cuts)
-    ])
-    tests = counts.select("stratum", "n", F.explode(F.array(*[
-        F.struct(F.lit(rule).alias("rule"), F.lit(i).alias("step"), F.lit(cut).alias("cut"),
-                 F.col(f"{rule}_{i}").alias("k"))
-        for rule, (_, cuts) in RULES.items() for i, cut in enumerate(cuts)
-    ])).alias("t")).select("stratum", "n", "t.*")
-    strata = F.count_if((F.col("rule") == next(iter(RULES))) & (F.col("step") == 0)).over(Window.partitionBy())
-    passed = binomial_tail(F.col("n"), F.col("k"), alpha / len(RULES)) <= delta / (strata * len(RULES))
-    so_far = Window.partitionBy("stratum", "rule").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
-    proven = tests.withColumn("ok", passed).withColumn("ok", F.min("ok").over(so_far)).where("ok")
-    return proven.groupBy("stratum").agg(*[
-        F.min(F.when(F.col("rule") == rule, F.col("cut"))).alias(f"cut_{rule}") for rule in RULES
-    ])
+    proven = _tested(features, labels, alpha, delta).where("not pool and step >= 0")
+    return proven.select("stratum", *_cuts(F.col("step")))
+
+
+def cutoffs_for(
+    features: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA
+) -> DataFrame:
+    """One row per stratum of ``features``: ``cut_<rule>`` and ``proven_on`` ('stratum', 'all strata' or NULL)."""
+    tested = written(_tested(features, labels, alpha, delta), "quality-tests")
+    pool = tested.where("pool").select(F.col("step").alias("pool_step"))
+    own = tested.where("not pool").drop("pool")
+    joined = features.select("stratum").distinct().join(own, "stratum", "left").join(pool, how="left")
+    alone = F.coalesce("enough", F.lit(False))
+    step = F.when(alone, F.col("step")).otherwise(F.col("pool_step"))
+    return joined.select("stratum", *_cuts(step), F.when(step >= 0, F.when(alone, "stratum").otherwise("all strata")).alias("proven_on"))
 
 
 def with_verdict(features: DataFrame, cutoffs: DataFrame, by: Column) -> DataFrame:
@@ -163,13 +195,13 @@ def with_verdict(features: DataFrame, cutoffs: DataFrame, by: Column) -> DataFra
     rejected = F.col("base_failed")
     for rule in RULES:
         rejected |= F.coalesce(_measure(rule) > F.col(f"cut_{rule}"), F.lit(False))
-    return joined.withColumn("kept", ~rejected).drop(*[f"cut_{r}" for r in RULES])
+    return joined.withColumn("kept", ~rejected).drop("proven_on", *[f"cut_{r}" for r in RULES])
 
 
 def quality_report(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
     """doc_id, the base columns, base_failed and kept, one row per input row."""
     features = written(narrow(with_features(docs), stratum=stratum), "quality-features")
-    cutoffs = written(thresholds(features, labels), "quality-cutoffs")
+    cutoffs = written(cutoffs_for(features, labels), "quality-cutoffs")
     judged = with_verdict(features, cutoffs, F.col("doc_id"))
     return judged.select("doc_id", *BASE, "base_failed", "kept")
 
@@ -181,6 +213,6 @@ def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> Data
     own = [f"__c{i}" for i in range(len(kept))]
     featured = written(with_features(named).select(
         *own, "doc_id", _stratum("__stratum").alias("stratum"), "q.*"), "quality-featured")  # measured once
-    cutoffs = written(thresholds(featured.drop(*own), labels), "quality-cutoffs")
+    cutoffs = written(cutoffs_for(featured.drop(*own), labels), "quality-cutoffs")
     judged = with_verdict(featured, cutoffs, F.col("doc_id"))
     return judged.where("kept").select(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(docs.columns)])
