@@ -232,6 +232,24 @@ def test_pii_replacements_are_distinct(spark):
     assert not {r["made"] for r in made} & {r["canon"] for r in made}
 
 
+def test_pii_names_keep_their_surrogate_without_or_with_another_title(spark):
+    text = "Weber came. Mrs Weber met Dr Weber; Weber's hat, WEBER, Weberin. Mr Hans Vogel left, Vogel or Hans stays."
+    df = spark.createDataFrame([(1, text, "en", "a", 1, None, None, None), (2, "Weber alone", "en", "a", 1, None, None, None)], DOCS)
+    got = {r["doc_id"]: r for r in rows(pii.surrogate_report(df, "key"))}
+    new = re.search(r"Mrs (\w+) met", got[1]["text"]).group(1)
+    first, last = re.search(r"Mr (\w+) (\w+) left", got[1]["text"]).groups()
+    assert got[1]["text"] == f"{new} came. Mrs {new} met Dr {new}; {new}'s hat, {new.upper()}, Weberin. Mr {first} {last} left, {last} or {first} stays."
+    assert got[1]["n_entities"] == 8 and got[2] == {"doc_id": 2, "n_entities": 0, "text": "Weber alone"}
+
+
+def test_pii_names_never_run_out(spark, monkeypatch):
+    monkeypatch.setitem(pii.SYLLABLES, "latin", "ba be")
+    monkeypatch.setitem(pii.ENDINGS, ("latin", "either"), "ley")
+    many = spark.createDataFrame([("name", f"either:n{i}") for i in range(12)], "kind string, canon string")
+    made = rows(pii.replacements(many, "k"))
+    assert len(made) == 12 and len({r["made"] for r in made}) == 12
+
+
 def test_mix(docs, nothing):
     got = rows(mixing.mix_report(docs, 1))
     assert got == rows(mixing.mix_report(docs, 1)) and len(got) == docs.count()

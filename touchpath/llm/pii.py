@@ -7,9 +7,14 @@ gender, script and case. A replacement follows from a secret key, the type and t
 canonical form (lower case, or digits without layout), so one entity has one replacement
 in all texts and layouts, without a table that would have to be kept.
 
+A name is found after a title; later and earlier bare mentions of its words in the same
+text are replaced too. A surname alone has one form whatever the title. Names without any
+titled mention in their text are not found.
+
 Collision check: a replacement may be no entity of the data itself, nor that of another
 entity. Of entities with the same candidate the smallest keeps it; the others, and those
-whose candidate really occurs, try again with the next attempt number.
+whose candidate really occurs, try again with the next attempt number; every fourth
+attempt makes names one syllable longer, so there are always free ones.
 
 Occurrences are joined to replacements on the entity, where a frequent entity is split
 over tasks; they return to their document as one small list, so a text moves once.
@@ -74,7 +79,7 @@ def canonical(kind: Column, value: Column) -> Column:
     digits = F.regexp_replace(value, "[^0-9]", "")
     plain = F.regexp_replace(value, "[^0-9A-Za-z]", "")
     name = F.lower(F.regexp_replace(value, rf"^(?:{MALE}|{FEMALE}|{EITHER})\.? ", ""))
-    gender = F.when(value.rlike(rf"^(?:{MALE})\b"), "male").when(value.rlike(rf"^(?:{FEMALE})\b"), "female").otherwise("either")
+    gender = F.when(~name.contains(" "), "either").when(value.rlike(rf"^(?:{MALE})\b"), "male").when(value.rlike(rf"^(?:{FEMALE})\b"), "female").otherwise("either")
     return (
         F.when(kind == "email", F.lower(value))
         .when(kind.isin("phone", "card", "ssn"), digits)
@@ -144,8 +149,16 @@ def _name(key: str, canon: Column, attempt: Column) -> Column:
         def at(d: Column, values: str, k: int) -> Column:
             options = values.split()
             return F.element_at(F.array(*map(F.lit, options)), F.pmod(_byte(d, F.lit(k)), F.lit(len(options))) + 1)
+
+        def longer(d: Column, values: str) -> Column:
+            more = F.when(attempt >= 4, F.sequence(F.lit(4), F.lit(3) + F.floor(attempt / 4).cast("int"))).otherwise(
+                F.array().cast("array<int>"))
+            options = values.split()
+            return F.array_join(F.transform(more, lambda k: F.element_at(
+                F.array(*map(F.lit, options)), F.pmod(_byte(d, k), F.lit(len(options))) + 1)), "")
         return F.initcap(bound(_digest(key, F.lit("name"), w, attempt), lambda d: F.coalesce(*[
-            F.when((script == s) & (role == g), F.concat(*[at(d, SYLLABLES[s], k) for k in range(3)], at(d, end, 3)))
+            F.when((script == s) & (role == g), F.concat(
+                *[at(d, SYLLABLES[s], k) for k in range(3)], longer(d, SYLLABLES[s]), at(d, end, 3)))
             for (s, g), end in ENDINGS.items()
         ])))
     words = F.split(F.substring_index(canon, ":", -1), " ")
@@ -184,6 +197,20 @@ def rendered(kind: Column, value: Column, made: Column) -> Column:
     )
 
 
+def bare_names(value: Column, made: Column) -> Column:
+    """(old, new) of each word of a titled name, as found, with a capital and in capitals; old is a pattern."""
+    words = F.split(F.regexp_replace(value, rf"^(?:{MALE}|{FEMALE}|{EITHER})\.? ", ""), " ")
+
+    def forms(pair: Column) -> Column:
+        def form(old: Column, new: Column) -> Column:
+            return F.struct(F.concat(F.lit(r"(?<![\p{L}\p{N}_])\Q"), old, F.lit(r"\E(?!\p{L})")).alias("old"), new.alias("new"))
+        old, new = pair["old"], pair["new"]
+        found = F.when(old == F.upper(old), F.upper(new)).otherwise(new)
+        return F.array(form(old, found), form(F.initcap(F.lower(old)), new), form(F.upper(old), F.upper(new)))
+    pairs = F.zip_with(words, F.split(made, " "), lambda a, b: F.struct(a.alias("old"), b.alias("new")))
+    return F.flatten(F.transform(pairs, forms))
+
+
 def replacements(entities: DataFrame, key: str, max_attempts: int = 40) -> DataFrame:
     """(kind, canon, made) for distinct (kind, canon): distinct, and never an entity itself."""
     known = written(entities.select("kind", "canon").distinct(), "pii-entities")
@@ -228,17 +255,28 @@ def pseudonymized(docs: DataFrame, key: str, doc_id: str = "doc_id", text: str =
     )
     table = replacements(hits, key)
     named = hits.join(table, ["kind", "canon"])
-    lists = named.withColumn("new", rendered(F.col("kind"), F.col("value"), F.col("made"))).groupBy("id", "hash").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("at", "new"))), lambda x: x["new"]).alias("new"))
+    no_names = F.array().cast("array<struct<old:string,new:string>>")
+    names = F.when(F.col("kind") == "name", bare_names(F.col("value"), F.col("made"))).otherwise(no_names)
+    lists = named.withColumn("new", rendered(F.col("kind"), F.col("value"), F.col("made"))).withColumn("names", names)
+    lists = lists.groupBy("id", "hash").agg(F.array_sort(F.collect_list(F.struct("at", "new", "names"))).alias("all")).select(
+        "id", "hash", F.transform("all", lambda x: x["new"]).alias("new"),
+        F.array_distinct(F.flatten(F.transform("all", lambda x: x["names"]))).alias("names"))
     lists = lists.withColumnsRenamed({"id": "__id", "hash": "__hash"})
     on = rows["id"].eqNullSafe(lists["__id"]) & (rows["hash"] == lists["__hash"])
     joined = rows.join(lists.hint("shuffle_hash"), on, "left")
-    between = F.split("body", ANY, -1)
+    between = F.when(F.col("new").isNotNull(), F.split("body", ANY, -1))
+    parts = settled(joined.select("row", "body", "new", "names", between.alias("between")), "part", F.when(
+        F.size("names") > 0, F.struct(
+            F.transform("between", lambda t: F.aggregate("names", t, lambda a, x: F.regexp_replace(a, x["old"], x["new"]))).alias("between"),
+            bound(F.array_join(F.transform("names", lambda x: x["old"]), "|"), lambda p: F.aggregate(
+                "between", F.lit(0), lambda n, t: n + F.regexp_count(t, p))).alias("bare"),
+        )).otherwise(F.struct(F.col("between").alias("between"), F.lit(0).alias("bare"))))
     woven = F.array_join(F.flatten(F.zip_with(
-        between, F.col("new"), lambda a, b: F.array(a, F.coalesce(b, F.lit("")))
+        F.col("part.between"), F.col("new"), lambda a, b: F.array(a, F.coalesce(b, F.lit("")))
     )), "")
     clean = F.when(F.col("new").isNull(), F.col("body")).otherwise(woven)
-    return joined.select("row", clean.alias("clean"), F.coalesce(F.size("new"), F.lit(0)).cast("long").alias("n_entities"))
+    count = F.coalesce(F.size("new") + F.col("part.bare"), F.lit(0)).cast("long")
+    return parts.select("row", clean.alias("clean"), F.when(F.col("new").isNull(), 0).otherwise(count).alias("n_entities"))
 
 
 def surrogate_report(docs: DataFrame, key: str) -> DataFrame:
