@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import string
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from pyspark.sql import functions as F
 WHITE = "\t\n\x0b\x0c\r "
 WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
+UPPER, LOWER = string.ascii_uppercase, string.ascii_lowercase
+PIECE = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +43,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def lowered(text: Column) -> Column:
+    """``text`` with A-Z, and no other letter, in lower case."""
+    return F.translate(text, UPPER, LOWER)
+
+
+def byte_table(others: str = "") -> bytes:
+    """For ``words_in``: A-Z become lower case; a-z, ``others`` and bytes from 0x80 on stay; the rest parts words."""
+    kept = (LOWER + others).encode()
+    same = {ord(u): ord(v) for u, v in zip(UPPER, LOWER)} | {b: b for b in (*kept, *range(0x80, 0x100))}
+    return bytes(same.get(b, 0x20) for b in range(256))
+
+
+def words_in(data: bytes | None, table: bytes, piece: int = PIECE) -> Iterator[list[bytes]]:
+    """The words of a UTF-8 text in lists of about ``piece`` bytes, so that no list grows with the text."""
+    data = (data or b"").translate(table)
+    at = 0
+    while at < len(data):
+        end = data.find(b" ", at + piece) if len(data) - at > piece else -1
+        end = len(data) if end < 0 else end
+        yield data[at:end].split()
+        at = end
+
+
 def settled(df: DataFrame, name: str, value: Column) -> DataFrame:
     """Add a column that is computed once: a generator keeps filters and later columns from repeating it."""
     return df.select("*", F.explode(F.array(value)).alias(name))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchpath.llm import mixing, packing, pii, quality_rules, simhash, suffix_dedup, suffix_tree, token_counts, vector_graph, warc
+from touchpath.llm import merkle, mixing, packing, pii, quality_rules, simhash, suffix_dedup, suffix_tree, token_counts, vector_graph, warc
 from touchpath.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,3 +72,11 @@ def op7_vector_graph(spark, sf_dir):
 @query
 def op2_suffix_dedup(spark, sf_dir):
     return suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_merkle_manifest(spark, sf_dir):
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op13_merkle_manifest"] = merkle.ORACLE
