@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchpath.llm import merkle, mixing, packing, pii, quality_rules, simhash, suffix_dedup, suffix_tree, token_counts, vector_graph, warc
+from touchpath.llm import divergence, merkle, mixing, packing, pii, quality_rules, simhash, suffix_dedup, suffix_tree, token_counts, vector_graph, warc
 from touchpath.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +80,11 @@ def op13_merkle_manifest(spark, sf_dir):
 
 
 ORACLE_SQL["op13_merkle_manifest"] = merkle.ORACLE
+
+
+@query
+def op12_source_divergence(spark, sf_dir):
+    return divergence.divergences(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op12_source_divergence"] = divergence.ORACLE
