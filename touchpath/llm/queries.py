@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchpath.llm import divergence, merkle, mixing, packing, pii, quality_rules, simhash, suffix_dedup, suffix_tree, token_counts, vector_graph, warc
+from touchpath.llm import divergence, merkle, mixing, packing, phrase_index, pii, quality_rules, simhash, suffix_dedup, suffix_tree, token_counts, vector_graph, warc
 from touchpath.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,3 +88,11 @@ def op12_source_divergence(spark, sf_dir):
 
 
 ORACLE_SQL["op12_source_divergence"] = divergence.ORACLE
+
+
+@query
+def op11_phrase_index(spark, sf_dir):
+    return phrase_index.decontaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE_SQL["op11_phrase_index"] = phrase_index.ORACLE
