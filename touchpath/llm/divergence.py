@@ -39,7 +39,7 @@ from touchpath.llm.common import LOWER, UPPER, byte_table, spread_join, words_in
 MIN_DOCUMENTS, TOP = 30, 50
 SCALE, PRIOR = 10**9, 5
 MAX_TERMS = 500_000
-BUCKET, PAIRS = 500_000, 1_000_000
+BUCKET, PAIRS = 50_000, 1_000_000
 _TERM = byte_table()
 _SLICE = 1 << 16
 _BATCH_WORDS = 1 << 20
@@ -137,16 +137,13 @@ def stripes(docs: DataFrame, max_terms: int = MAX_TERMS) -> DataFrame:
 
 def merged(spilled: DataFrame, min_documents: int) -> DataFrame:
     """lang, term, ``by_source`` (source, count): stripes merged by key, those of enough documents."""
-    dealt = spilled.repartition("lang", "term")
-    entries = dealt.select(
-        "lang", "term", "n_docs", F.posexplode(F.arrays_zip("sources", "counts")).alias("nth", "x"),
-    ).select("lang", "term", "x.sources", "x.counts", F.when(F.col("nth") == 0, F.col("n_docs")).otherwise(0).alias("n_docs"))
-    # all three steps stay in the partition of (lang, term)
-    by_source = entries.groupBy("lang", "term", "sources").agg(F.sum("counts").alias("n"), F.sum("n_docs").alias("n_docs"))
-    return by_source.groupBy("lang", "term").agg(
-        F.sum("n_docs").alias("n_docs"),
-        F.collect_list(F.struct(F.col("sources").alias("source"), "n")).alias("by_source"),
-    ).where(F.col("n_docs") >= min_documents).select("lang", "term", "by_source")
+    stripe = written(spilled, "divergence-spilled")
+    often = stripe.groupBy("lang", "term").agg(F.sum("n_docs").alias("n")).where(F.col("n") >= min_documents)
+    often = written(often.select("lang", "term"), "divergence-terms")
+    entries = stripe.join(often, ["lang", "term"], "left_semi").select(
+        "lang", "term", F.inline(F.arrays_zip("sources", "counts")))
+    by_source = entries.groupBy("lang", "term", F.col("sources").alias("source")).agg(F.sum("counts").alias("n"))
+    return by_source.groupBy("lang", "term").agg(F.collect_list(F.struct("source", "n")).alias("by_source"))
 
 
 def shares(counts: np.ndarray, total: int) -> np.ndarray:
