@@ -9,9 +9,10 @@ number of searches.
 
 A phrase search takes the terms of a phrase in the order of their frequency. The two
 rarest lists of every shard are intersected first, adjusted by the terms' offsets; these
-lists are short, so only few (shard, phrase) pairs are left. For these alone the lists of
-the remaining terms are brought to the shard, where each list is searched for the places
-still open, again rarest first, and places that reach into the next document go.
+lists are short, so only few (shard, phrase) pairs are left. The lists of all terms of the
+phrases still open are brought together by shard (the one larger shuffle; lists of other
+words never move), where each is searched for the places left, again rarest first, and
+places that reach into the next document go.
 
 A proximity search asks for documents in which the rarest terms of an item occur within
 some words of each other, in any order; each match is the shortest such run that ends
@@ -241,10 +242,10 @@ def _hits(held: pa.Table, queries: pa.Table, places: Callable) -> pa.Table:
 
 def _search(index: DataFrame, queries: DataFrame, adjusted: bool, places: Callable) -> DataFrame:
     candidates = _candidates(index, queries, adjusted)
-    needed = written(candidates.select("shard", F.explode("rarest").alias("term")).distinct(), "phrase-needed")
-    lists = index.where("term is not null").join(needed, ["shard", "term"], "left_semi")
-    shards = index.where("term is null").select(*index.columns)
-    held = lists.select(*index.columns).union(shards)
+    # as many as the open phrases have words, however many shards there are
+    needed = written(candidates.select(F.explode("rarest").alias("term")).distinct(), "phrase-needed")
+    lists = index.where("term is not null").join(needed, "term", "left_semi").select(*index.columns)
+    held = lists.union(index.where("term is null"))
     return held.groupBy("shard").cogroup(candidates.groupBy("shard")).applyInArrow(
         lambda postings, asked: _hits(postings, asked, places), HITS)
 
