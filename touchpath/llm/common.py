@@ -93,6 +93,30 @@ def spread_join(big: DataFrame, small: DataFrame, keys: list[str], by: Column, n
     return left.join(right, on, "left").drop("__salt", "__salt_right", *names.values())
 
 
+def whole_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``row`` (all columns, the text in it once), ``id``, ``text_hash`` and ``key``, a hash of both.
+
+    ``key`` is never NULL, so that joins on it and groupings by it share one exchange of the rows.
+    """
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+        F.col(f"`{doc_id}`").cast("long").alias("id"), F.xxhash64(F.col(f"`{text}`")).alias("text_hash"),
+    )
+    return rows.withColumn("key", F.xxhash64("id", "text_hash"))
+
+
+def rows_of(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``row`` of ``docs`` for each (id, text_hash) in ``chosen``, with its other columns; one row of equal ones.
+
+    The rows are moved once: the join and the grouping are dealt by the same key.
+    """
+    right = chosen.withColumn("id", F.col("id").cast("long")).withColumn("key", F.xxhash64("id", "text_hash")).withColumnsRenamed({"id": "__id", "text_hash": "__hash"})
+    rows = whole_rows(docs)
+    on = (rows["key"] == right["key"]) & rows["id"].eqNullSafe(right["__id"]) & (rows["text_hash"] == right["__hash"])
+    found = rows.join(right.hint("shuffle_hash"), on).drop(right["key"])
+    return found.dropDuplicates(["key", "id", "text_hash"]).drop("key", "__id", "__hash")
+
+
 def components(edges: DataFrame, name: str = "components", rounds: int = 60) -> DataFrame:
     """Connected components of ``edges`` (a, b): one row (node, component) for each node in an edge.
 

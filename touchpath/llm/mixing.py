@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from touchpath.llm.common import WORD, spread_join, written
+from touchpath.llm.common import WORD, rows_of, spread_join, written
 
 WEIGHTS, SHARE, MAX_PASSES = (3, 1, 2), 1.5, 2
 BLOCK_WORDS, SHARD_WORDS, MAX_SHARDS = 32, 1 << 18, 4096
@@ -152,11 +152,9 @@ def mixed_texts(docs: DataFrame, seed: int = 0) -> DataFrame:
     Documents of which nothing is taken go. Rows equal in id and text become one row
     with what they take together. ``n_chars`` is brought up to date.
     """
-    plan = mix(docs, seed).groupBy("doc_id", "text_hash").agg(F.sum("taken").alias("taken"), F.max("size").alias("size")).where("taken > 0")
-    plan = plan.withColumnsRenamed({"doc_id": "__id", "text_hash": "__hash"})
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", F.xxhash64("text").alias("text_hash"), "text")
-    on = rows["doc_id"].eqNullSafe(plan["__id"]) & (rows["text_hash"] == plan["__hash"])
-    some = rows.join(plan.hint("shuffle_hash"), on).dropDuplicates(["doc_id", "text_hash"])
+    plan = mix(docs, seed).groupBy(F.col("doc_id").alias("id"), "text_hash").agg(
+        F.sum("taken").alias("taken"), F.max("size").alias("size")).where("taken > 0")
+    some = rows_of(docs, plan).withColumn("text", F.col("row.text"))
     whole = F.expr("cast(taken div size as int)")
     rest = F.col("taken") - whole * F.col("size")
     head = _first_words(F.when(rest > 0, F.col("text")), rest)

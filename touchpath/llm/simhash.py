@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchpath.llm.common import components, written
+from touchpath.llm.common import components, rows_of, written
 
 SPAN, SEED, MAX_BITS = 3, 42, 2
 BLOCKS = (0, 16, 32, 48)
@@ -155,16 +155,10 @@ def one_of_each(docs: DataFrame, members: DataFrame) -> DataFrame:
     """
     stay = written(
         members.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")).alias("m"))
-        .select(F.col("m.id").alias("__id"), F.col("m.text_hash").alias("__hash")),
+        .select(F.col("m.id").alias("id"), F.col("m.text_hash").alias("text_hash")),
         "simhash-kept",
     )
-    rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-        F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("text_hash"),
-    )
-    on = rows["id"].eqNullSafe(stay["__id"]) & (rows["text_hash"] == stay["__hash"])
-    kept = rows.join(stay.hint("shuffle_hash"), on, "left_semi")
-    return kept.dropDuplicates(["id", "text_hash"]).select("row.*")
+    return rows_of(docs, stay).select("row.*")
 
 
 def keep_one(docs: DataFrame, max_list: int = MAX_LIST) -> DataFrame:
