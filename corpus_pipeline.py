@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from touchpath.llm import mixing, near_copies, packing, pii, quality_rules
+from touchpath.llm import mixing, packing, pii, quality_rules, simhash
 from touchpath.llm.common import table, written
 from touchpath.llm.queries import MIX_SEED, PII_KEY
 
@@ -20,8 +20,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five words, similarity 0.8) stays."""
-    return near_copies.keep_one(docs)
+    """One document of each group of near duplicates (SimHash, three words, two bits) stays."""
+    return simhash.keep_one(docs)
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
