@@ -15,6 +15,10 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .config("spark.eventLog.enabled", "true")
+        .config("spark.eventLog.compress", "false")
+        .config("spark.eventLog.rolling.enabled", "false")
+        .config("spark.eventLog.dir", f"file://{tmp_path_factory.mktemp('events')}")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

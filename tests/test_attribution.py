@@ -151,7 +151,7 @@ def test_slots_bound_the_work_of_a_hot_visitor(spark):
         "IF(id % 10 = 0, 'http://www.baidu.com/', '') AS srcurl", "'' AS htag",
         f"'{LANDING}' AS desturl", "'12' AS pageid", "'1' AS proid",
     )
-    per_visitor = pc.visitor_channels(pc.valid(views))
+    per_visitor = pc.visitor_channels(pc.valid(views), slot_ms=60_000)
     slots = 200_000 * 100 // 60_000 + 1
     assert per_visitor.count() <= 4 * slots
     total = pc.measures(views).where(F.col("channel") == c.ALL).first()

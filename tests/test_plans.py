@@ -33,14 +33,13 @@ def keys(df):
 
 
 def test_channel_report_shuffles(stored):
-    """Copies are counted first; then by (visitor, slot), by visitor for the few summary
-    rows, and by code for partial sums."""
-    expected = ["hashpartitioning(code", "hashpartitioning(guid", "hashpartitioning(guid, slot"]
-    counted = "hashpartitioning(guid, ts, assigned"
-    assert keys(pc.channel_report(stored["pv_log"])) == [
-        *expected, "hashpartitioning(guid, ts, kind, assigned, entry"]
+    """Copies are counted first; slots and visitors are put in order away from
+    what is certain by channel; codes get partial sums."""
+    expected = ["hashpartitioning(code", "hashpartitioning(guid, code", "hashpartitioning(guid, to", "hashpartitioning(guid, slot, to"]
+    counted = "hashpartitioning(guid, ts, channel"  # then by codes
+    assert keys(pc.channel_report(stored["pv_log"])) == [*expected, counted + ", entry"]
     assert keys(h5.view_report(stored["pv_log"])) == [*expected, counted]
-    assert keys(trade.trade_report(stored["trade_log"])) == [*expected, counted]
+    assert keys(trade.trade_report(stored["trade_log"])) == [*expected[:2], "hashpartitioning(guid, code", *expected[2:], counted]
 
 
 def test_page_reports_combine_before_each_shuffle(stored):

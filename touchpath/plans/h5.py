@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchpath import config as c
@@ -18,13 +18,7 @@ from touchpath.functions.pages import funnel_step
 from touchpath.functions.text import is_blank, to_long
 from touchpath.operators import quality as q
 from touchpath.operators import report as r
-from touchpath.operators.carry import (
-    SLOT_MS,
-    attribute_rows,
-    carry_across_slots,
-    carry_within_slots,
-    with_slot,
-)
+from touchpath.operators.carry import SLOT_MS, attribute_rows, attributed
 from touchpath.plans.pc import bad_htag, visitor_invalid
 from touchpath.sources.logs import H5_EVENT, PAGE_VIEW
 
@@ -83,41 +77,27 @@ def classify(views: DataFrame, site: c.Site = c.DEFAULT_SITE) -> DataFrame:
 def attribute(views: DataFrame, site: c.Site = c.DEFAULT_SITE, keep: tuple[str, ...] = (),
               slot_ms: int = SLOT_MS) -> DataFrame:
     """Channel of every H5 page view, with the ``keep`` columns."""
-    classified = classify(views, site).select("guid", "ts", "assigned", *keep)
-    rows = attribute_rows(with_slot(classified, slot_ms), c.DIRECT)
-    return rows.select("guid", "ts", *keep, "channel")
+    return attribute_rows(_assigning(classify(views, site)), keep, slot_ms)
+
+
+def _assigning(rows: DataFrame) -> DataFrame:
+    """No row is a direct candidate: rows without referrer assign DIRECT."""
+    return rows.withColumn("direct", F.lit(False))
 
 
 def visitor_channels(views: DataFrame, site: c.Site = c.DEFAULT_SITE,
                      slot_ms: int = SLOT_MS) -> DataFrame:
-    """Page views, entries and funnel steps per visitor, slot and channel."""
-    steps = [F.count_if(F.col("step") == step).alias(step) for step in STEPS]
-    combined = classify(views, site).groupBy("guid", "ts", "assigned").agg(
-        F.count(F.lit(1)).alias("n"), *steps
-    )
-    local = carry_within_slots(with_slot(combined, slot_ms))
-    parts = local.groupBy("guid", "slot", "slot_last", "here", "opens_slot").agg(
-        F.sum("n").alias("n"),
-        F.coalesce(F.sum(F.when(F.col("assigned").isNotNull(), F.col("n"))), F.lit(0)).alias("entered"),
-        *[F.sum(step).alias(step) for step in STEPS],
-    )
-    first = Window.partitionBy("guid").orderBy("slot", F.desc("opens_slot"))
-    parts = carry_across_slots(
-        parts.withColumn("opens_visit", F.row_number().over(first) == 1)
-    )
-    # the visitor's very first view falls back to DIRECT when it assigns nothing
-    fallback = (F.col("opens_visit") & F.col("here").isNull()).cast("bigint")
-    resolved = parts.select(
-        "guid",
-        F.coalesce("here", "carried", F.lit(c.DIRECT)).alias("channel"),
-        "n",
-        (F.col("entered") + fallback).alias("entered"),
-        *STEPS,
-    )
-    # still inside the visitor's partition: few rows are left to be spread over the codes
-    return resolved.groupBy("guid", "channel").agg(
-        *[F.sum(name).alias(name) for name in ("n", "entered", *STEPS)]
+    """Page views, entries and funnel steps per visitor and channel, to be added up."""
+    rows = _assigning(classify(views, site)).select(
+        "guid", "ts", "assigned", "direct", F.lit(1).cast("bigint").alias("n"),
+        F.col("assigned").isNotNull().cast("bigint").alias("entered"),
+        *[F.coalesce(F.col("step") == step, F.lit(False)).cast("bigint").alias(step) for step in STEPS],
     )
+    names = ("n", "entered", *STEPS)
+    found = attributed(rows, dict.fromkeys(names, "bigint"), slot_ms=slot_ms)
+    # the visitor's very first view enters by DIRECT when it assigns nothing
+    entered = (F.col("entered") + F.col("falls_back").cast("bigint")).alias("entered")
+    return found.select("guid", "channel", "n", entered, *STEPS)
 
 
 def view_measures(visits: DataFrame) -> DataFrame:
@@ -133,7 +113,7 @@ def view_measures(visits: DataFrame) -> DataFrame:
         .groupBy(F.col("code").alias("channel"))
         .agg(
             r.total_or_zero("n").alias("pv"),
-            F.count("n").alias("uv"),
+            F.count_if(F.col("n") > 0).alias("uv"),
             r.total_or_zero("entered").alias("enter"),
             *[F.count_if(F.col(step) > 0).alias(step) for step in STEPS],
         )

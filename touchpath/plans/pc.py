@@ -10,14 +10,14 @@ A page view is one of four kinds, which depend on the row alone:
   the fallback entry: the visitor is direct from there on, and no ``D`` row assigns;
 * ``S`` is ignored (level-0 tag that is no promotion).
 
-The rest follows from slot-wise carry-forward (`touchpath.operators.carry`) with two
-candidate histories per slot, one where the slot's first ``D`` assigns and one where it
-does not; which one holds is known once the visitor's slots are seen together.
+The rest follows from the carry-forward of `touchpath.operators.carry`: ``A`` and ``D`` rows
+know their channel, ``C`` rows get theirs from the last ``A`` before them, or DIRECT if the
+visitor's first ``D`` assigned in between. Rows of one time count in the order of their kinds.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchpath import config as c
@@ -35,14 +35,7 @@ from touchpath.functions.pages import is_private_fund_page
 from touchpath.functions.text import is_blank, to_long
 from touchpath.operators import quality as q
 from touchpath.operators import report as r
-from touchpath.operators.carry import (
-    SLOT_MS,
-    carried_in,
-    last_of_slot,
-    last_so_far,
-    slot_window,
-    with_slot,
-)
+from touchpath.operators.carry import SLOT_MS, attribute_rows, attributed
 from touchpath.sources.logs import PAGE_VIEW
 
 
@@ -145,115 +138,30 @@ def anomalies(views: DataFrame, site: c.Site = c.DEFAULT_SITE) -> DataFrame:
 
 def _counting(classified: DataFrame) -> DataFrame:
     """Rows that change or use the visitor's state."""
-    return classified.where(F.col("kind") != "S")
-
-
-def _within_slots(rows: DataFrame) -> DataFrame:
-    window = slot_window("ts", "kind", "assigned")
-    is_direct = F.col("kind") == "D"
-    rows = rows.withColumn(
-        "nth_direct", F.count_if(is_direct).over(window.rowsBetween(Window.unboundedPreceding, 0))
-    )
-    plain = F.col("assigned")
-    with_direct = F.coalesce(plain, F.when(is_direct & (F.col("nth_direct") == 1), c.DIRECT))
-    return rows.select(
-        "*",
-        (F.row_number().over(window) == 1).alias("opens_slot"),
-        last_so_far(plain, window).alias("here"),
-        last_so_far(with_direct, window).alias("here_direct"),
-        last_of_slot(plain, window).alias("slot_last"),
-        last_of_slot(with_direct, window).alias("slot_last_direct"),
-        F.max(is_direct).over(Window.partitionBy("guid", "slot")).alias("slot_has_direct"),
-    )
-
-
-_SLOT_COLUMNS = ("guid", "slot", "slot_last", "slot_last_direct", "slot_has_direct")
-
-
-def _summarize_slots(rows: DataFrame) -> DataFrame:
-    """The slot columns by aggregation, for the row-level result: one row per slot."""
-    at = F.struct("ts", "kind", "assigned")
-    found = rows.groupBy("guid", "slot").agg(
-        F.min(at)["kind"].alias("kind"),
-        F.max(F.when(F.col("kind") == "A", at)).alias("last_assigning"),
-        F.min(F.when(F.col("kind") == "D", at)).alias("first_direct"),
-    )
-    assigning, direct = F.col("last_assigning"), F.col("first_direct")
-    last = assigning["assigned"]
-    with_direct = F.when(F.coalesce(direct > assigning, direct.isNotNull()), c.DIRECT)
-    return found.select(
-        "guid", "slot", "kind", F.lit(True).alias("opens_slot"),
-        last.alias("slot_last"),
-        F.coalesce(with_direct, last).alias("slot_last_direct"),
-        direct.isNotNull().alias("slot_has_direct"),
-    )
-
-
-def _across_slots(parts: DataFrame) -> DataFrame:
-    """Add ``direct_assigns``, ``carried``, ``fallback`` to rows that include each slot's opener."""
-    visitor = Window.partitionBy("guid")
-    in_order = visitor.orderBy("slot", F.desc("opens_slot"))
-    seen = parts.select(
-        "*",
-        F.first("kind").over(in_order).alias("first_kind"),
-        (F.row_number().over(in_order) == 1).alias("opens_visit"),
-        F.min(F.when(F.col("slot_has_direct"), F.col("slot"))).over(visitor).alias("direct_slot"),
-    )
-    seen = seen.withColumn(
-        "direct_assigns",
-        (F.col("first_kind") != "C")
-        & F.coalesce(F.col("slot") == F.col("direct_slot"), F.lit(False)),
-    )
-    slot_value = F.when(F.col("direct_assigns"), F.col("slot_last_direct")).otherwise(
-        F.col("slot_last")
-    )
-    return seen.select(
-        "*",
-        carried_in(slot_value).alias("carried"),
-        (F.col("opens_visit") & (F.col("first_kind") == "C")).alias("fallback"),
-    )
-
-
-def _channel() -> Column:
-    here = F.when(F.col("direct_assigns"), F.col("here_direct")).otherwise(F.col("here"))
-    return F.when(F.col("kind") == "D", c.DIRECT).otherwise(
-        F.coalesce(here, F.col("carried"), F.lit(c.DIRECT))
-    )
+    return classified.where(F.col("kind") != "S").withColumn("direct", F.col("kind") == "D")
 
 
 def attribute(views: DataFrame, site: c.Site = c.DEFAULT_SITE, keep: tuple[str, ...] = (),
               slot_ms: int = SLOT_MS) -> DataFrame:
     """Channel of every page view (ignored rows left out), with the ``keep`` columns."""
-    rows = _counting(classify(views, site)).select("guid", "ts", "kind", "assigned", *keep)
-    slotted = with_slot(rows, slot_ms)
-    slots = _across_slots(_summarize_slots(slotted))
-    slots = slots.select("guid", "slot", "direct_assigns", "carried")
-    rows = _within_slots(slotted).join(slots, ["guid", "slot"], "left")
-    return rows.select("guid", "ts", *keep, "kind", _channel().alias("channel"))
+    rows = _counting(classify(views, site)).select("guid", "ts", "kind", "direct", "assigned", *keep)
+    found = attribute_rows(rows, (*keep, "kind"), slot_ms, assigns_first=True)
+    return found.select("guid", "ts", *keep, "kind", "channel")
 
 
 def visitor_channels(views: DataFrame, site: c.Site = c.DEFAULT_SITE,
                      slot_ms: int = SLOT_MS) -> DataFrame:
-    """Page views, private-fund views and entries per visitor, channel and scope.
+    """Page views, private-fund views and entries per visitor, channel and scope, to be added up.
 
     The scope tells which codes a count goes to: ``full`` the channel's levels, its group
     and the total, ``code`` the channel only, ``group`` the group and the total,
     ``portal`` views that only count on request.
     """
-    combined = (
-        _counting(classify(views, site))
-        .groupBy("guid", "ts", "kind", "assigned", "entry")
-        .agg(F.count(F.lit(1)).alias("n"), F.count_if("simu").alias("simu"))
-    )
-    parts = (
-        _within_slots(with_slot(combined, slot_ms))
-        .groupBy(*_SLOT_COLUMNS, "opens_slot", "kind", "entry", "here", "here_direct")
-        .agg(F.sum("n").alias("n"), F.sum("simu").alias("simu"))
-    )
-    resolved = _across_slots(parts).select(
-        "guid", "entry", "fallback", "n", "simu", _channel().alias("channel"),
-        F.when(F.col("kind") == "D", c.DIRECT).otherwise(F.col("here")).alias("entered"),
+    rows = _counting(classify(views, site)).select(
+        "guid", "ts", "direct", "assigned", "entry",
+        F.lit(1).cast("bigint").alias("n"), F.col("simu").cast("bigint").alias("simu"),
     )
+    found = attributed(rows, {"n": "bigint", "simu": "bigint"}, ("entry",), slot_ms, assigns_first=True)
     col, zero = F.col, F.lit(0).cast("bigint")
 
     def count(channel: Column, scope: Column, pv: Column, simu: Column, enter: Column) -> Column:
@@ -263,19 +171,14 @@ def visitor_channels(views: DataFrame, site: c.Site = c.DEFAULT_SITE,
         )
 
     view_scope = F.when(is_portal(col("channel")), PORTAL).otherwise(FULL)
-    fallback_scope = F.when(col("fallback"), FULL)
-    counts = F.array(
-        count(col("channel"), view_scope, col("n"), col("simu"), zero),
-        count(col("entered"), col("entry"), zero, zero, col("n")),
-        count(F.lit(c.DIRECT), fallback_scope, zero, zero, F.lit(1).cast("bigint")),
-    )
-    # the sums stay in the visitor's partition and leave few rows to spread over the codes
-    return (
-        resolved.select("guid", F.inline(counts))
-        .where("scope IS NOT NULL")
-        .groupBy("guid", "channel", "scope")
-        .agg(*[F.sum(name).alias(name) for name in ("pv", "simu", "enter")])
-    )
+    viewed = count(col("channel"), view_scope, col("n"), col("simu"), zero)
+    entered = count(col("channel"), col("entry"), zero, zero, col("n"))
+    fallback = count(F.lit(c.DIRECT), F.lit(FULL), zero, zero, F.lit(1).cast("bigint"))
+    counts = (
+        F.when(col("falls_back"), F.array(viewed, fallback))
+        .when(col("entry").isNotNull(), F.array(viewed, entered)).otherwise(F.array(viewed))
+    )
+    return found.select("guid", F.inline(counts))
 
 
 def channel_measures(visits: DataFrame, count_portals: bool = False) -> DataFrame:

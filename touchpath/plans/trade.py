@@ -16,16 +16,10 @@ from touchpath.functions.labels import is_trade_action
 from touchpath.functions.text import is_blank, to_long
 from touchpath.operators import quality as q
 from touchpath.operators import report as r
-from touchpath.operators.carry import (
-    SLOT_MS,
-    attribute_rows,
-    carry_across_slots,
-    carry_within_slots,
-    with_slot,
-)
+from touchpath.operators.carry import SLOT_MS, attribute_rows, attributed
 from touchpath.sources.logs import TRADE
 
-_SUMS = ("bills", "amt", "bind_card", "open_acct")
+_SUMS = {"bills": "bigint", "amt": c.AMOUNT_TYPE, "bind_card": "bigint", "open_acct": "bigint"}
 
 
 def amount(name: str = "amt"):
@@ -81,38 +75,29 @@ def anomalies(events: DataFrame) -> DataFrame:
 
 
 def _sums():
-    return [
-        F.sum(name).cast(c.AMOUNT_TYPE if name == "amt" else "bigint").alias(name)
-        for name in _SUMS
-    ]
+    return [F.sum(name).cast(kind).alias(name) for name, kind in _SUMS.items()]
 
 
 def _assign(events: DataFrame) -> DataFrame:
-    return events.withColumn("assigned", otrack_channel(F.col("otrack")))
+    return events.withColumns({"assigned": otrack_channel(F.col("otrack")), "direct": F.lit(False)})
 
 
 def attribute(events: DataFrame, keep: tuple[str, ...] = (), slot_ms: int = SLOT_MS) -> DataFrame:
     """Channel of every trade event, with the ``keep`` columns."""
-    assigned = _assign(events).select("guid", "ts", "assigned", *keep)
-    rows = attribute_rows(with_slot(assigned, slot_ms), c.DIRECT)
-    return rows.select("guid", "ts", *keep, "channel")
+    return attribute_rows(_assign(events), keep, slot_ms)
 
 
 def visitor_channels(events: DataFrame, slot_ms: int = SLOT_MS) -> DataFrame:
-    """Trades, amount, bindings and openings per visitor, slot and channel."""
+    """Trades, amount, bindings and openings per visitor and channel, to be added up."""
     kind = F.col("type")
     is_trade = is_trade_action(kind)
-    combined = _assign(events).groupBy("guid", "ts", "assigned").agg(
-        F.count_if(is_trade).alias("bills"),
-        F.sum(F.when(is_trade, F.col("amt"))).cast(c.AMOUNT_TYPE).alias("amt"),
-        F.count_if(kind == c.ACTION_BIND_CARD).alias("bind_card"),
-        F.count_if(kind == c.ACTION_OPEN_ACCOUNT).alias("open_acct"),
+    rows = _assign(events).select(
+        "guid", "ts", "assigned", "direct", is_trade.cast("bigint").alias("bills"),
+        F.when(is_trade, F.col("amt")).cast(c.AMOUNT_TYPE).alias("amt"),
+        (kind == c.ACTION_BIND_CARD).cast("bigint").alias("bind_card"),
+        (kind == c.ACTION_OPEN_ACCOUNT).cast("bigint").alias("open_acct"),
     )
-    local = carry_within_slots(with_slot(combined, slot_ms))
-    parts = local.groupBy("guid", "slot", "slot_last", "here").agg(*_sums())
-    channel = F.coalesce("here", "carried", F.lit(c.DIRECT)).alias("channel")
-    # still inside the visitor's partition: few rows are left to be spread over the codes
-    return carry_across_slots(parts).groupBy("guid", channel).agg(*_sums())
+    return attributed(rows, _SUMS, slot_ms=slot_ms).drop("falls_back")
 
 
 def channel_measures(visits: DataFrame) -> DataFrame:
