@@ -12,7 +12,7 @@ from touchpath.config import DEFAULT_SITE, FIELD_SEPARATOR
 from touchpath.sources import logs as layouts
 
 SITE = DEFAULT_SITE.labels[0]
-DT = "2024-01-31"
+DT, OTHER_DT = "2024-01-31", "2024-02-01"
 # logins before this day are already in the stored state
 STATE_CUT_MS = 1_704_844_800_000
 
@@ -26,6 +26,9 @@ PROMO = (
     "lpad(CAST(event_id % 5 AS STRING), 4, '0'), '900000')"
 )
 
+# some page ids have 25 digits and more
+WIDE = "CASE WHEN event_id % 5 = 0 THEN '9000000000000000000000' ELSE '' END"
+
 PV_LOG = {
     "event_id": "event_id",
     "guid": "CASE WHEN event_id % 97 = 0 THEN '' WHEN event_id % 101 = 0 "
@@ -43,8 +46,8 @@ PV_LOG = {
     "desturl": f"CASE event_id % 13 WHEN 0 THEN 'http://m.{SITE}.com/' "
                f"WHEN 1 THEN 'http://simu.{SITE}.com/p' WHEN 2 THEN 'http://www.other.org/' "
                f"ELSE 'https://www.{SITE}.com/' END",
-    "pageid": "CASE event_id % 7 WHEN 0 THEN '' WHEN 1 THEN concat(user_id % 50, '12') "
-              "WHEN 2 THEN concat(user_id % 9 + 1, '001', '0002', '00003', '3') "
+    "pageid": "CASE event_id % 7 WHEN 0 THEN '' WHEN 1 THEN concat(wide, user_id % 50, '12') "
+              "WHEN 2 THEN concat(wide, user_id % 9 + 1, '001', '0002', '00003', '3') "
               "WHEN 3 THEN concat(user_id, '21000') WHEN 4 THEN concat(user_id, '21010') "
               "WHEN 5 THEN concat(user_id, '21020') ELSE concat(user_id, '6') END",
     "proid": "CASE event_type WHEN 'error' THEN '5001' WHEN 'signup' THEN '5002' "
@@ -105,7 +108,7 @@ LOGS = {
 
 def base_columns(ms: str) -> dict[str, str]:
     kept = ("event_id", "user_id", "event_type", "value")
-    return {**{name: name for name in kept}, "ms": ms, "promo": PROMO}
+    return {**{name: name for name in kept}, "ms": ms, "promo": PROMO, "wide": WIDE}
 
 
 def line_expression(name: str) -> str:

@@ -6,7 +6,7 @@ library, so that the two sides are independent.
 
 from __future__ import annotations
 
-from checks.logs import DT, LOGS, SITE, STATE_CUT_MS, duckdb_logs, line_expression
+from checks.logs import DT, LOGS, OTHER_DT, SITE, STATE_CUT_MS, duckdb_logs, line_expression
 from touchpath import config as c
 from touchpath.config import FIELD_SEPARATOR
 from touchpath.plans.misc import GROUP_SEPARATOR
@@ -235,7 +235,7 @@ add(
     "pv_log",
 )
 NEWS_PARTS = (
-    "CAST(left({0}, length({0}) - 13) AS BIGINT) AS zid, "
+    "CAST(left({0}, length({0}) - 13) AS DECIMAL(38,0)) AS zid, "
     "right({0}, 13)[1:3] AS newstype, right({0}, 13)[4:7] AS subtype, "
     "right({0}, 13)[8:12] AS author_id"
 )
@@ -430,7 +430,7 @@ SELECT hour_ms, pageid AS page_id, count(*) AS pv, count(DISTINCT guid) AS uv FR
 )
 add(
     "news_pv_total",
-    f"\nSELECT {DATE}, 10012 AS proid, '-1' AS page_id, CAST(-1 AS BIGINT) AS zid, "
+    f"\nSELECT {DATE}, 10012 AS proid, '-1' AS page_id, CAST(-1 AS DECIMAL(38,0)) AS zid, "
     "'-1' AS newstype, '-1' AS subtype, '-1' AS author_id, count(*) AS pv, "
     f"count(DISTINCT guid) AS uv FROM {NEWS_ROWS}",
     "pv_log",
@@ -439,7 +439,7 @@ IS_FUND_PAGE = r"regexp_full_match(pageid, '\d+(1|2|3)2')"
 IS_FUND_URL = rf"regexp_full_match(desturl, '(?:http|https)://.*simu\.{SITE}\.com.*')"
 add(
     "simu_page_pv",
-    f"\nSELECT {DATE}, 10011 AS proid, CAST(pageid AS BIGINT) AS page_id, "
+    f"\nSELECT {DATE}, 10011 AS proid, CAST(pageid AS DECIMAL(38,0)) AS page_id, "
     "CAST(right(pageid, 2) AS INTEGER) AS page_type, count(*) AS pv, "
     f"count(DISTINCT guid) AS uv FROM pv_log WHERE NOT {VISITOR_BAD} "
     f"AND starts_with('10011', proid) AND {IS_FUND_PAGE} AND {IS_FUND_URL} GROUP BY pageid",
@@ -541,6 +541,11 @@ add("trade_total", TRADE_ROWS + f"SELECT * FROM m WHERE channel = '{c.ALL}'", "t
 TRADE_REPORT = f"SELECT {DATE}, *, {dims_sql('channel')} FROM m"
 add("trade_report", TRADE_ROWS + TRADE_REPORT, "trade_log")
 add("sink_report_table", TRADE_ROWS + TRADE_REPORT, "trade_log")
+add(
+    "report_day_twice",
+    f"{TRADE_ROWS}\nSELECT * FROM ({TRADE_REPORT}) UNION ALL SELECT * FROM ({TRADE_REPORT.replace(DT, OTHER_DT)})",
+    "trade_log",
+)
 
 
 def total_sql(action: str, name: str) -> str:
@@ -637,6 +642,24 @@ SELECT deviceid, custno,
 FROM n FULL OUTER JOIN o USING (deviceid, custno)""",
     "app_log",
 )
+ORACLE_SQL["observed_rejects"] = " UNION ALL ".join(
+    f"SELECT '{log}' AS log, reason, n FROM ({ORACLE_SQL[name]})" for log, name in (
+        ("page views", "pv_rejects"), ("H5 page views", "h5_rejects"), ("trades", "trade_rejects"),
+        ("news page views", "news_rejects"), ("private-fund page views", "simu_rejects"),
+        ("ad clicks", "ad_rejects"), ("app logins", "app_rejects")))
+ORACLE_SQL["several_inputs"] = ORACLE_SQL["pv_rejects"]
+add(
+    "news_hourly_files",
+    f"""
+SELECT 'today' AS name, {NEWS_SELECT} FROM {NEWS_ROWS} AND {COMPLETE}
+  AND {LOG_HOUR} IN ('{DT}.1', '{DT}.14') GROUP BY {LOG_HOUR}, pageid
+UNION ALL SELECT 'his', {NEWS_SELECT} FROM {NEWS_ROWS} AND {COMPLETE} GROUP BY pageid""",
+    "pv_log",
+)
+ORACLE_SQL["app_login_state"] = (
+    f"SELECT * EXCLUDE (change), CAST(2 AS INTEGER) AS version FROM ({ORACLE_SQL['app_first_login_upsert']})")
+ORACLE_SQL["app_first_login_keyed"] = ORACLE_SQL["app_first_login_stream"]
+ORACLE_SQL["news_windows_late"] = ORACLE_SQL["news_pv_stream"]
 add(
     "table_count",
     APP_ROWS + STATE + "SELECT count(*) AS n FROM n FULL OUTER JOIN o USING (deviceid, custno) "

@@ -5,12 +5,15 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.logs import DT, LOGS, STATE_CUT_MS, spark_lines, spark_log
+from checks.logs import DT, LOGS, OTHER_DT, STATE_CUT_MS, spark_lines, spark_log
 from touchpath import config as c
+from touchpath import jobs
+from touchpath import state as login_state
 from touchpath.functions import channels as ch
 from touchpath.functions import text
 from touchpath.functions.pages import funnel_step, news_page_parts
@@ -25,6 +28,8 @@ from touchpath.streaming.hourly import (
     store_batches,
     stream_log,
 )
+from touchpath.streaming.logins import earliest_logins, login_table, store_updates
+from touchpath.streaming.windows import NewsWindows, news_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -307,6 +312,34 @@ def news_pv_stream(spark, sf_dir):
     return news_of_visits(_streamed(spark, sf_dir, "pv_log", news_visits))
 
 
+def _in_files(spark, sf_dir, name, files):
+    """The log's lines as files that arrive one after the other, with times of all hours in each."""
+    path = shared_path(spark, "arriving")
+    lines = spark_lines(spark, sf_dir, name).withColumn("file", F.pmod(F.col("event_id"), F.lit(files)))
+    lines.repartition("file").select("file", "value").write.partitionBy("file").text(path)
+    return f"{path}/*"
+
+
+@query
+def news_windows_late(spark, sf_dir):
+    """Hours reported once, corrections by late files and open hours: together all rows."""
+    rows = stream_log(spark, _in_files(spark, sf_dir, "pv_log", 3), src.PAGE_VIEW, maxFilesPerTrigger="1")
+    windows = NewsWindows(spark, shared_path(spark, "news_windows"))
+    job = news_windows(rows, windows).option("checkpointLocation", shared_path(spark, "stream_progress"))
+    job.trigger(availableNow=True).start().awaitTermination()
+    return windows.totals()
+
+
+@query
+def app_first_login_keyed(spark, sf_dir):
+    """First logins from the stream's keyed state."""
+    rows = stream_log(spark, _in_files(spark, sf_dir, "app_log", 3), src.APP_LOGIN, maxFilesPerTrigger="1")
+    out = shared_path(spark, "login_updates")
+    job = store_updates(earliest_logins(rows), out).option("checkpointLocation", shared_path(spark, "stream_progress"))
+    job.trigger(availableNow=True).start().awaitTermination()
+    return login_table(spark, out)
+
+
 @query
 def news_pv_total(spark, sf_dir):
     return pages.news_total(spark_log(spark, sf_dir, "pv_log"), DT)
@@ -448,6 +481,16 @@ def app_first_login_upsert(spark, sf_dir):
     return app.upsert_state(batch, state).drop("ts")
 
 
+@query
+def app_login_state(spark, sf_dir):
+    """The stored state after two runs and a repeated one."""
+    log = spark_log(spark, sf_dir, "app_log")
+    ms, root = text.to_long(F.col("ts")), shared_path(spark, "login_state")
+    for batch, rows in (("before", ms < STATE_CUT_MS), ("after", ms >= STATE_CUT_MS), ("after", ms >= STATE_CUT_MS)):
+        version = login_state.merge(spark, root, app.first_logins(app.logins(log.where(rows))), batch, buckets=16)
+    return login_state.read(spark, root).drop("ts").withColumn("version", F.lit(version.number))
+
+
 @query
 def table_count(spark, sf_dir):
     state, batch = _state_and_batch(spark, sf_dir)
@@ -474,6 +517,69 @@ def sink_report_table(spark, sf_dir):
     return stored.withColumn("dt", F.col("dt").cast("date"))
 
 
+@query
+def report_day_twice(spark, sf_dir):
+    """Two days of a report, the first of them written twice."""
+    root, rows = shared_path(spark, "report_day_twice"), spark_log(spark, sf_dir, "trade_log")
+    for day in (DT, OTHER_DT, DT):
+        tables.replace_days_parquet(trade.trade_report(rows, day), "channel_trade_stat", root)
+    stored = spark.read.parquet(f"{root}/channel_trade_stat").drop("createtime")
+    return stored.withColumn("dt", F.col("dt").cast("date"))
+
+
+# --- jobs from text files to tables -------------------------------------------
+
+@query
+def observed_rejects(spark, sf_dir):
+    """Outcomes per log, counted by the jobs while their reports were written."""
+    found = []
+
+    def write(report, table):
+        report.write.format("noop").mode("overwrite").save()
+
+    def lines(name):
+        path = shared_path(spark, "observed")
+        spark_lines(spark, sf_dir, name).select("value").write.text(path)
+        return path
+
+    views, keep = lines("pv_log"), lambda outcomes, log: found.append(outcomes)
+    jobs.pc_channels(spark, views, write, DT, rejects=keep)
+    jobs.h5_channels(spark, views, lines("h5_event_log"), write, DT, rejects=keep)
+    jobs.trade_channels(spark, lines("trade_log"), write, DT, rejects=keep)
+    jobs.news_daily(spark, views, write, DT, rejects=keep)
+    jobs.private_fund_pages(spark, views, write, DT, rejects=keep)
+    jobs.ad_clicks(spark, lines("ad_log"), write, DT, rejects=keep)
+    jobs.app_login_state(spark, lines("app_log"), shared_path(spark, "state"), "day", rejects=keep)
+    return reduce(DataFrame.union, found).where("log <> 'H5 events'").drop("dt")
+
+
+@query
+def news_hourly_files(spark, sf_dir):
+    """Two hours from files named by hour, and the day, read back from the tables of both jobs."""
+    root, out = shared_path(spark, "news_files"), shared_path(spark, "news_tables")
+    hour_file = F.expr(f"concat('{DT}.', (CAST(ts AS BIGINT) div 3600000) % 24)")
+    lines = spark_lines(spark, sf_dir, "pv_log").withColumn("log", hour_file)
+    lines.repartition("log").select("log", "value").write.partitionBy("log").text(root)
+    write = partial(tables.append_parquet, root=out)
+    for hour in (1, 14):
+        jobs.news_hourly(spark, root, write, DT, hour)
+    jobs.news_daily(spark, f"{root}/*", write, DT)
+    stored = [
+        spark.read.parquet(f"{out}/{tables.news_table(hourly)}").select("*", F.lit(name).alias("name"))
+        for name, hourly in (("today", True), ("his", False))
+    ]
+    return stored[0].unionByName(stored[1]).drop("create_time").withColumn("dt", F.col("dt").cast("date"))
+
+
+@query
+def several_inputs(spark, sf_dir):
+    """Reject counts over a folder and a glob of folders, read as one log."""
+    path = shared_path(spark, "several")
+    lines = spark_lines(spark, sf_dir, "pv_log").withColumn("file", F.pmod(F.col("event_id"), F.lit(4)))
+    lines.select("file", "value").write.partitionBy("file").text(path)
+    return pc.rejects(src.read_log(spark, [f"{path}/file=0", f"{path}/file=[1-3]"], src.PAGE_VIEW))
+
+
 # --- small text jobs ---------------------------------------------------------
 
 @query

@@ -107,6 +107,7 @@ DEVICE_ID_UNUSABLE = r"^(0+|-+|\s*)$"
 AMOUNT_SCALE = 6
 AMOUNT_TYPE = f"decimal(38,{AMOUNT_SCALE})"
 AMOUNT_LIMIT = 10**18
+ID_TYPE = "decimal(38,0)"  # numbers in page ids, exact up to 38 digits
 AMOUNT_TEXT = rf"^[+-]?(\d+(\.\d{{0,{AMOUNT_SCALE}}}0*)?|\.\d{{1,{AMOUNT_SCALE}}}0*)([eE]\+?\d{{1,2}})?$"
 
 

@@ -12,7 +12,7 @@ def news_page_parts(page_id: Column) -> Column:
     """News page id = item id, 3 digits news type, 4 digits subtype, 5 digits author, 3."""
     tail = F.right(page_id, F.lit(13))
     return F.struct(
-        F.left(page_id, F.length(page_id) - 13).try_cast("bigint").alias("zid"),
+        F.left(page_id, F.length(page_id) - 13).try_cast(c.ID_TYPE).alias("zid"),
         F.substring(tail, 1, 3).alias("newstype"),
         F.substring(tail, 4, 4).alias("subtype"),
         F.substring(tail, 8, 5).alias("author_id"),

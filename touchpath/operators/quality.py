@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 ACCEPTED = "ACCEPTED"
@@ -10,6 +10,12 @@ INCOMPLETE = "NO_COMPLETE"
 INVALID_DATA = "INVALID_DATA"
 INVALID_URL = "INVALID_URL"
 INVALID_TIME = "INVALID_TIME"
+# all reasons of the checks in `touchpath.plans`
+REASONS = (
+    INCOMPLETE, INVALID_DATA, INVALID_URL, INVALID_TIME, "EXCLUDED_PRODUCT", "OTHER_PRODUCT", "OTHER_EVENT",
+    "OTHER_ACTION", "FAILED", "INVALID_AMOUNT", "INVALID_PAGEID", "NO_TAG", "INVALID_TAG", "INVALID_TYPE",
+    "INVALID_DEVICE", "UNKNOWN_PRODUCT",
+)
 MAX_TIME_MS = 253402300799999  # end of the year 9999
 
 
@@ -34,6 +40,11 @@ def incomplete(rows: DataFrame, arity: int) -> list[tuple[Column, str]]:
     return [(F.coalesce(F.col("n_fields") != arity, F.lit(False)), INCOMPLETE)]
 
 
+def with_reason(rows: DataFrame, *tests: tuple[Column, str]) -> DataFrame:
+    """Add ``reject``; rows that have it are checked already (and perhaps observed) and stay as they are."""
+    return rows if "reject" in rows.columns else rows.withColumn("reject", first_failure(*tests))
+
+
 def accepted(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("reject").isNull()).drop("reject", "n_fields")
 
@@ -44,7 +55,13 @@ def count_outcomes(rows: DataFrame, *extra: Column) -> DataFrame:
     return rows.groupBy(reason).agg(F.count(F.lit(1)).alias("n"), *extra)
 
 
-def observe_outcomes(rows: DataFrame, observation: object, *reasons: str) -> DataFrame:
-    """Count the given reasons while another job runs over the rows, without a second scan."""
-    counts = [F.count_if(F.col("reject") == reason).alias(reason) for reason in reasons]
-    return rows.observe(observation, F.count(F.lit(1)).alias("ALL"), *counts)
+def observe_outcomes(checked: DataFrame, observation: Observation) -> DataFrame:
+    """Count all outcomes while another job runs over the rows, without a second scan."""
+    counts = [F.count_if(F.col("reject") == reason).alias(reason) for reason in REASONS]
+    return checked.observe(observation, F.count_if(F.col("reject").isNull()).alias(ACCEPTED), *counts)
+
+
+def observed_outcomes(spark: SparkSession, observation: Observation) -> DataFrame:
+    """What `count_outcomes` gives, from the observed job."""
+    found = [(reason, int(n)) for reason, n in observation.get.items() if n]
+    return spark.createDataFrame(found, "reason string, n bigint")

@@ -29,6 +29,8 @@ def check(rows: DataFrame, decrypt: Callable[[Column], Column] | None = None) ->
 
     Android apps are identified by IMEI (flag 1), iOS apps by their own id (flag 2).
     """
+    if "reject" in rows.columns:
+        return rows
     product = F.col("proid")
     android, ios = product.isin(*c.APP_ANDROID), product.isin(*c.APP_IOS)
     rows = rows.withColumns({
@@ -38,13 +40,14 @@ def check(rows: DataFrame, decrypt: Callable[[Column], Column] | None = None) ->
     })
     known = F.coalesce(android | ios, F.lit(False))
     unusable = F.col("deviceid").rlike(c.DEVICE_ID_UNUSABLE) & (F.col("custno") == "0")
-    return rows.withColumn("reject", q.first_failure(
+    return q.with_reason(
+        rows,
         *q.incomplete(rows, APP_LOGIN.arity),
         (q.no_time(to_long(F.col("ts"))), q.INVALID_TIME),
         (F.col("type").try_cast("int").isNull(), "INVALID_TYPE"),
         (unusable, "INVALID_DEVICE"),
         (~known, "UNKNOWN_PRODUCT"),
-    ))
+    )
 
 
 def rejects(rows: DataFrame) -> DataFrame:

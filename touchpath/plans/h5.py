@@ -29,13 +29,14 @@ VIEW_METRICS = ("pv", "uv", "enter", *STEPS)
 # --- page views --------------------------------------------------------------
 
 def check(rows: DataFrame, site: c.Site = c.DEFAULT_SITE) -> DataFrame:
-    return rows.withColumn("reject", q.first_failure(
+    return q.with_reason(
+        rows,
         *q.incomplete(rows, PAGE_VIEW.arity),
         (visitor_invalid(ignore_case=True), q.INVALID_DATA),
         (F.coalesce(F.col("proid") != c.PRODUCT_H5, F.lit(True)), "OTHER_PRODUCT"),
         (~F.col("desturl").rlike(site.landing), q.INVALID_URL),
         (to_long(F.col("ts")).isNull(), q.INVALID_TIME),
-    ))
+    )
 
 
 def valid(rows: DataFrame, site: c.Site = c.DEFAULT_SITE) -> DataFrame:
@@ -138,10 +139,11 @@ def view_report(rows: DataFrame, dt: str | None = None,
 
 def check_events(rows: DataFrame) -> DataFrame:
     other = (F.col("productid") != c.PRODUCT_H5) | (F.col("type") != c.ACTION_OPEN_ACCOUNT)
-    return rows.withColumn("reject", q.first_failure(
+    return q.with_reason(
+        rows,
         *q.incomplete(rows, H5_EVENT.arity),
         (F.coalesce(other, F.lit(True)), "OTHER_EVENT"),
-    ))
+    )
 
 
 def openings(rows: DataFrame) -> DataFrame:

@@ -18,12 +18,13 @@ INVALID_PAGE = "INVALID_PAGEID"
 
 def _check_section(rows: DataFrame, module: str, page_pattern: str, *more) -> DataFrame:
     wrong_module = ~module_accepts(module, F.coalesce("proid", F.lit("")))
-    return rows.withColumn("reject", q.first_failure(
+    return q.with_reason(
+        rows,
         *q.incomplete(rows, PAGE_VIEW.arity),
         (visitor_invalid() | wrong_module, q.INVALID_DATA),
         (~F.col("pageid").rlike(page_pattern), INVALID_PAGE),
         *more,
-    ))
+    )
 
 
 def check_news(rows: DataFrame) -> DataFrame:
@@ -78,7 +79,7 @@ def news_total(rows: DataFrame, dt: str | None = None) -> DataFrame:
     text = [F.lit("-1").alias(name) for name in ("newstype", "subtype", "author_id")]
     report = traffic.select(
         F.lit(int(c.MODULE_NEWS)).alias("proid"), F.lit("-1").alias("page_id"),
-        F.lit(-1).cast("bigint").alias("zid"), *text, "pv", "uv",
+        F.lit(-1).cast(c.ID_TYPE).alias("zid"), *text, "pv", "uv",
     )
     return r.with_date(report, dt)
 
@@ -89,7 +90,7 @@ def private_fund_report(rows: DataFrame, dt: str | None = None,
     pages = _traffic(q.accepted(check_private_fund(rows, site)), "pageid")
     report = pages.select(
         F.lit(int(c.MODULE_PRIVATE_FUND)).alias("proid"),
-        F.col("pageid").try_cast("bigint").alias("page_id"),
+        F.col("pageid").try_cast(c.ID_TYPE).alias("page_id"),
         private_fund_page_type(F.col("pageid")).alias("page_type"),
         "pv", "uv",
     )
@@ -98,12 +99,13 @@ def private_fund_report(rows: DataFrame, dt: str | None = None,
 
 def check_ads(rows: DataFrame) -> DataFrame:
     tag = F.col("tag")
-    return rows.withColumn("reject", q.first_failure(
+    return q.with_reason(
+        rows,
         *q.incomplete(rows, AD_CLICK.arity),
         (visitor_invalid(), q.INVALID_DATA),
         (is_blank(tag), "NO_TAG"),
         ((tag == c.AD_TAG_RESERVED) | ~tag.rlike(c.AD_TAG), "INVALID_TAG"),
-    ))
+    )
 
 
 def ad_rejects(rows: DataFrame) -> DataFrame:

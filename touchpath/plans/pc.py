@@ -54,13 +54,14 @@ def visitor_invalid(ignore_case: bool = False) -> Column:
 
 def check(rows: DataFrame, site: c.Site = c.DEFAULT_SITE) -> DataFrame:
     """Page-view rows with their ``reject`` reason."""
-    return rows.withColumn("reject", q.first_failure(
+    return q.with_reason(
+        rows,
         *q.incomplete(rows, PAGE_VIEW.arity),
         (visitor_invalid(), q.INVALID_DATA),
         (F.coalesce(F.col("proid") == c.PRODUCT_EXCLUDED_ON_PC, F.lit(False)), "EXCLUDED_PRODUCT"),
         (~F.col("desturl").rlike(site.landing), q.INVALID_URL),
         (to_long(F.col("ts")).isNull(), q.INVALID_TIME),
-    ))
+    )
 
 
 def valid(rows: DataFrame, site: c.Site = c.DEFAULT_SITE) -> DataFrame:

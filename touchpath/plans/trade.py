@@ -36,7 +36,8 @@ def check(rows: DataFrame, site: c.Site = c.DEFAULT_SITE) -> DataFrame:
     """
     kind = F.col("type")
     blank_key = is_blank(F.col("guid"), True) | is_blank(F.col("ts"), True)
-    return rows.withColumn("reject", q.first_failure(
+    return q.with_reason(
+        rows,
         *q.incomplete(rows, TRADE.arity),
         (~F.coalesce(kind.isin(*c.REPORTED_ACTIONS), F.lit(False)), "OTHER_ACTION"),
         (F.coalesce(F.col("tx_rslt") == "0", F.lit(False)), "FAILED"),
@@ -44,7 +45,7 @@ def check(rows: DataFrame, site: c.Site = c.DEFAULT_SITE) -> DataFrame:
         (blank_key, q.INVALID_DATA),
         (to_long(F.col("ts")).isNull(), q.INVALID_TIME),
         (is_trade_action(kind) & amount().isNull(), "INVALID_AMOUNT"),
-    ))
+    )
 
 
 def valid(rows: DataFrame, site: c.Site = c.DEFAULT_SITE) -> DataFrame:

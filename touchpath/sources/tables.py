@@ -68,6 +68,15 @@ def append_parquet(report: DataFrame, table: str, root: str) -> None:
     for_table(report, table).write.partitionBy("dt").mode("append").parquet(f"{root}/{table}")
 
 
+def replace_days_parquet(report: DataFrame, table: str, root: str) -> None:
+    """Write a report to its Parquet table in place of what the table holds for its dates.
+
+    Other dates stay as they are, so a job may be repeated for its day.
+    """
+    (for_table(report, table).write.partitionBy("dt").option("partitionOverwriteMode", "dynamic")
+     .mode("overwrite").parquet(f"{root}/{table}"))
+
+
 def read_jdbc(spark: SparkSession, table: str, options: Mapping[str, str]) -> DataFrame:
     """A database table as one distributed scan.
 
