@@ -465,3 +465,15 @@ def test_word_encoder_equals_the_library_when_its_memo_overflows(monkeypatch):
     ]
     for text in texts * 2:
         assert encoder(text).tolist() == encoder.library.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("memo", [3, 10**6])
+def test_new_words_are_encoded_as_the_library_does(monkeypatch, memo):
+    monkeypatch.setattr(packing, "MEMO", memo)
+    encoder = packing.WordEncoder(packing.TOKENIZER)
+    assert encoder.splits
+    rng = random.Random(2)
+    letters = "abcXYZ'stmdl019.,!#&-_ éÉüßÿÀ×÷ªµ日İΣς\u0301\x00\x7f\n\u00ad"
+    for _ in range(3000):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 30)))
+        assert encoder(text).tolist() == encoder.library.encode(text, add_special_tokens=False).ids, repr(text)

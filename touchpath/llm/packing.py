@@ -24,6 +24,7 @@ documents. No token is dropped.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections import deque
 from collections.abc import Iterator
@@ -60,9 +61,16 @@ class WordEncoder:
     The tokenizer drops white space and never merges across it, so a text's ids are those
     of its words. Texts with special strings, or with separators that Python takes for
     white space and the library does not, are encoded whole.
+
+    A new word of printable ASCII and Latin-1 letters is lower-cased and split into the
+    pre-tokens of the tokenizer's pattern; each distinct one goes through the library's
+    merges once, in the byte alphabet. Other words go through the whole library.
     """
 
     _ODD = ("<|", "\x1c", "\x1d", "\x1e", "\x1f")
+    _LATIN = "".join(chr(i) for i in range(0xC0, 0x100) if i not in (0xD7, 0xF7))
+    _PLAIN = re.compile(f"[!-~{_LATIN}]+")
+    _PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LATIN}]+|[0-9]|[^a-z{_LATIN}0-9]+")
 
     def __init__(self, name: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -70,6 +78,9 @@ class WordEncoder:
         self.library = Tokenizer.from_file(tokenizer_path(name))
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.splits = self._splits_like_the_pattern()
+        self.bytes_of = {ord(c): self._byte_letters(c) for c in self._LATIN}
         size = self.library.get_vocab_size(with_added_tokens=True)
         self.ends = np.zeros(max(size, END_ID + 1), bool)
         for token, i in self.library.get_vocab().items():
@@ -83,12 +94,34 @@ class WordEncoder:
         ends = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(words)), side="right").tolist()
         return [ids[4 * a:4 * b] for a, b in zip([0, *ends], ends)]
 
+    def _splits_like_the_pattern(self) -> bool:
+        """Whether the tokenizer lower-cases and splits as ``_PIECES`` does; if not, all words go through the library."""
+        probe = "Don't we'LL x12y é.Ünd--ÿ#s' 'sa"
+        pieces = [q for w in probe.split() for q in self._PIECES.findall(w.lower())]
+        found = self.library.normalizer and self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(probe))
+        return bool(found) and [piece for piece, _ in found] == ["".join(map(self._byte_letters, q)) for q in pieces]
+
+    @staticmethod
+    def _byte_letters(char: str) -> str:
+        """The byte alphabet's letters for a character: printable bytes stand for themselves, others follow U+00FF."""
+        other = [b for b in range(256) if not (0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or 0xAE <= b <= 0xFF)]
+        return "".join(chr(0x100 + other.index(b)) if b in other else chr(b) for b in char.encode())
+
+    def _piece(self, piece: str) -> bytes:
+        known = self.pieces.get(piece)
+        if known is None:
+            if len(self.pieces) > MEMO:
+                self.pieces.clear()
+            letters = piece if piece.isascii() else piece.translate(self.bytes_of)
+            known = self.pieces[piece] = np.array([t.id for t in self.library.model.tokenize(letters)], "<u4").tobytes()
+        return known
+
     def __call__(self, text: str) -> np.ndarray:
         if any(mark in text for mark in self._ODD):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4")
         words = text.split()
         try:
-            packed = b"".join([self.memo[w] for w in words])
+            packed = b"".join(map(self.memo.__getitem__, words))
         except KeyError:
             self._learn(set(words))
             memo = self.memo
@@ -101,12 +134,15 @@ class WordEncoder:
             self.older, self.memo = self.memo, {}
         memo, older = self.memo, self.older
         new = []
+        plain, pieces, piece = self._PLAIN.fullmatch if self.splits else lambda _: None, self._PIECES.findall, self._piece
         for w in words:
             if w not in memo:
-                if (known := older.get(w)) is None:
-                    new.append(w)
-                else:
+                if (known := older.get(w)) is not None:
                     memo[w] = known
+                elif plain(w):
+                    memo[w] = b"".join(map(piece, pieces(w.lower())))
+                else:
+                    new.append(w)
         if new:
             memo.update(zip(new, self._ids(new)))
 
