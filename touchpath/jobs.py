@@ -40,7 +40,7 @@ class _Watch:
         if self.rejects is None:
             return checked
         self.logs.append((log, Observation(), checked.sparkSession))
-        return quality.observe_outcomes(checked, self.logs[-1][1])
+        return quality.observe_checks(checked, self.logs[-1][1])
 
     def report(self) -> None:
         for log, observation, spark in self.logs:

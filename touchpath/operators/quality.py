@@ -55,13 +55,19 @@ def count_outcomes(rows: DataFrame, *extra: Column) -> DataFrame:
     return rows.groupBy(reason).agg(F.count(F.lit(1)).alias("n"), *extra)
 
 
-def observe_outcomes(checked: DataFrame, observation: Observation) -> DataFrame:
+def observe_outcomes(rows: DataFrame, observation: Observation, *reasons: str) -> DataFrame:
+    """Count the given reasons while another job runs over the rows, without a second scan."""
+    counts = [F.count_if(F.col("reject") == reason).alias(reason) for reason in reasons]
+    return rows.observe(observation, F.count(F.lit(1)).alias("ALL"), *counts)
+
+
+def observe_checks(checked: DataFrame, observation: Observation) -> DataFrame:
     """Count all outcomes while another job runs over the rows, without a second scan."""
     counts = [F.count_if(F.col("reject") == reason).alias(reason) for reason in REASONS]
     return checked.observe(observation, F.count_if(F.col("reject").isNull()).alias(ACCEPTED), *counts)
 
 
 def observed_outcomes(spark: SparkSession, observation: Observation) -> DataFrame:
-    """What `count_outcomes` gives, from the observed job."""
+    """What `count_outcomes` gives, from a job over the rows of `observe_checks`."""
     found = [(reason, int(n)) for reason, n in observation.get.items() if n]
     return spark.createDataFrame(found, "reason string, n bigint")
