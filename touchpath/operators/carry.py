@@ -1,4 +1,4 @@
-"""Last-touch carry-forward as a segmented scan: no task holds a visitor, or a slot of one.
+"""Last-touch carry-forward as a segmented scan: no task holds the rows of a visitor.
 
 A visitor's channel at an event is the last channel assigned up to that event. Three kinds
 of rows matter: rows that assign a channel, rows that carry the current one on, and direct
