@@ -1,8 +1,8 @@
 """Time the headline reports and print one JSON line.
 
 The derived logs are written to Parquet once (not timed). Each query then runs once to
-warm up and three times into the ``noop`` sink; the median wall time counts. ``value`` is
-the sum over the queries.
+warm up and five times into the ``noop`` sink; the median wall time counts, the fastest and the
+slowest run are given as ``spread``. ``value`` is the sum over the queries.
 
 Environment: BENCH_SF_DIR, BENCH_CPUS, BENCH_RUNS.
 """
@@ -23,7 +23,7 @@ from touchpath.sources import logs as src
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "5"))
 
 
 def session() -> SparkSession:
@@ -71,15 +71,18 @@ def main() -> None:
         "app_first_login": lambda: app.first_logins(app.logins(log("app_log"))),
         "word_count": lambda: misc.word_count(table("documents"), "text"),
     }
-    seconds = {}
+    seconds, spread = {}, {}
     for name, build in work.items():
         run(build())
-        seconds[name] = round(statistics.median(run(build()) for _ in range(RUNS)), 4)
+        runs = [run(build()) for _ in range(RUNS)]
+        seconds[name] = round(statistics.median(runs), 4)
+        spread[name] = [round(min(runs), 4), round(max(runs), 4)]
     print(json.dumps({
         "metric": "sum of median report seconds",
         "value": round(sum(seconds.values()), 4),
         "unit": "sec",
         "queries": seconds,
+        "spread": spread,
         "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),
         "cpus": int(CPUS),
     }))
