@@ -435,6 +435,11 @@ add(
     f"count(DISTINCT guid) AS uv FROM {NEWS_ROWS}",
     "pv_log",
 )
+add(
+    "news_uv_sketch",
+    f"""\nSELECT *, true AS uv_near FROM ({ORACLE_SQL['news_pv_daily']})
+UNION ALL SELECT *, true FROM ({ORACLE_SQL['news_pv_total']})""",
+)
 IS_FUND_PAGE = r"regexp_full_match(pageid, '\d+(1|2|3)2')"
 IS_FUND_URL = rf"regexp_full_match(desturl, '(?:http|https)://.*simu\.{SITE}\.com.*')"
 add(

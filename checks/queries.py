@@ -345,6 +345,20 @@ def news_pv_total(spark, sf_dir):
     return pages.news_total(spark_log(spark, sf_dir, "pv_log"), DT)
 
 
+@query
+def news_uv_sketch(spark, sf_dir):
+    """Pages of the day and the whole section from stored hourly sketches, against the exact uv."""
+    path, rows = shared_path(spark, "news_sketches"), spark_log(spark, sf_dir, "pv_log")
+    pages.news_sketches(rows).write.parquet(path)
+    sketches = spark.read.parquet(path)
+    estimated = pages.news_report_estimated(sketches, DT).unionByName(pages.news_total_estimated(sketches, DT))
+    exact = pages.news_report(rows, DT).unionByName(pages.news_total(rows, DT))
+    near = F.abs(F.col("estimate") - F.col("uv")) <= pages.SKETCH_ERROR * F.col("uv")
+    uv = exact.select("page_id", "uv")
+    return estimated.withColumnRenamed("uv", "estimate").join(uv, "page_id").select(
+        *exact.columns, near.alias("uv_near"))
+
+
 @query
 def news_rejects(spark, sf_dir):
     return pages.news_rejects(parsed(spark, sf_dir, "pv_log"))

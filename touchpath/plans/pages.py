@@ -14,6 +14,9 @@ from touchpath.plans.pc import visitor_invalid
 from touchpath.sources.logs import AD_CLICK, PAGE_VIEW
 
 INVALID_PAGE = "INVALID_PAGEID"
+HOUR_MS = 3_600_000
+SKETCH_LOG2 = 12  # 4,096 registers a sketch
+SKETCH_ERROR = 3 * 1.04 / 2 ** (SKETCH_LOG2 / 2)  # three standard errors of united sketches: 4.9 %
 
 
 def _check_section(rows: DataFrame, module: str, page_pattern: str, *more) -> DataFrame:
@@ -84,6 +87,50 @@ def news_total(rows: DataFrame, dt: str | None = None) -> DataFrame:
     return r.with_date(report, dt)
 
 
+def news_sketches(rows: DataFrame) -> DataFrame:
+    """Per page and hour: pv and a HyperLogLog sketch of the visitors, for `united_sketches`.
+
+    Sketches have a fixed size and are built before the shuffle, which moves one of them per
+    page, hour and task instead of every visitor. Rows of times no number can hold are under
+    the hour NULL.
+    """
+    hour = F.floor(F.col("ts").try_cast("long") / HOUR_MS)
+    views = q.accepted(check_news(rows)).select("pageid", hour.alias("hour"), "guid")
+    return views.groupBy("pageid", "hour").agg(
+        F.count(F.lit(1)).alias("pv"), F.hll_sketch_agg("guid", SKETCH_LOG2).alias("visitors"))
+
+
+def united_sketches(sketches: DataFrame, *keys: str) -> DataFrame:
+    """pv and estimated uv per key (none: of all rows), from stored sketches of any hours.
+
+    ``uv`` is within `SKETCH_ERROR` of the exact count in 997 of 1,000 cases; up to a few
+    hundred visitors it is practically exact. No sketch at all means no visitor.
+    """
+    united = sketches.groupBy(*keys).agg(
+        r.total_or_zero("pv").alias("pv"), F.hll_union_agg("visitors").alias("visitors"))
+    return united.withColumn("uv", F.coalesce(F.hll_sketch_estimate("visitors"), F.lit(0))).drop("visitors")
+
+
+def news_report_estimated(sketches: DataFrame, dt: str | None = None) -> DataFrame:
+    """The columns of `news_report` with ``uv`` estimated from stored sketches."""
+    parts = news_page_parts(F.col("pageid"))
+    report = united_sketches(sketches, "pageid").select(
+        F.lit(int(c.MODULE_NEWS)).alias("proid"), F.col("pageid").alias("page_id"),
+        *[parts[name].alias(name) for name in ("zid", "newstype", "subtype", "author_id")], "pv", "uv",
+    )
+    return r.with_date(report, dt)
+
+
+def news_total_estimated(sketches: DataFrame, dt: str | None = None) -> DataFrame:
+    """The columns of `news_total` with ``uv`` estimated from stored sketches."""
+    text = [F.lit("-1").alias(name) for name in ("newstype", "subtype", "author_id")]
+    report = united_sketches(sketches).select(
+        F.lit(int(c.MODULE_NEWS)).alias("proid"), F.lit("-1").alias("page_id"),
+        F.lit(-1).cast(c.ID_TYPE).alias("zid"), *text, "pv", "uv",
+    )
+    return r.with_date(report, dt)
+
+
 def private_fund_report(rows: DataFrame, dt: str | None = None,
                         site: c.Site = c.DEFAULT_SITE) -> DataFrame:
     """pv and uv per private-fund page."""
