@@ -298,33 +298,83 @@ def test_token_counts(docs, nothing, share):
     assert rows(token_counts.token_counts(nothing)) == []
 
 
-@pytest.mark.parametrize("share", [suffix_tree.WORD_SHARE, 1e-2])
-def test_suffix_tree(docs, nothing, share):
-    got = rows(suffix_tree.scored(docs, min_share=1e-4, word_share=share))
-    counts, held = Counter(), {}
-    for d in docs.select("doc_id", "text").collect():
-        held[d.doc_id] = zlib.crc32(("" if d.doc_id is None else str(d.doc_id)).encode()) % 5 == 1
-        if not held[d.doc_id]:
-            counts.update((d.text or "").encode().lower().split() + [b"\n"])
-    n, v = sum(counts.values()), len(counts)
-    text = {d.doc_id: d.text for d in docs.select("doc_id", "text").collect()}
+class BruteTree:
+    """The suffix tree of `suffix_tree` in dictionaries."""
+
+    def __init__(self, streams, min_count):
+        self.counts = {}
+        for s in streams:
+            for i in range(1, len(s)):
+                for d in range(min(suffix_tree.DEPTH, i) + 1):
+                    self.counts.setdefault(s[i - d:i], Counter())[s[i]] += 1
+        self.states = {c for c, n in self.counts.items() if c and n.total() >= min_count and self.gain(c) > len(n)}
+
+    def gain(self, context):
+        n, above = self.counts[context], self.counts[context[1:]]
+        return sum(k * math.log(k / n.total() / (above[x] / above.total())) for x, k in n.items())
+
+    def p(self, context, symbol):
+        if not context:
+            n = self.counts.get(b"", Counter())
+            return (n[symbol] + 0.5) / (n.total() + 0.5 * 256)
+        p = self.p(context[1:], symbol)
+        if context not in self.states:
+            return p
+        n = self.counts[context]
+        return (n[symbol] + len(n) * p) / (n.total() + len(n))
+
+    def score(self, s):
+        return sum(math.log10(self.p(s[max(0, i - suffix_tree.DEPTH):i], s[i])) for i in range(1, len(s)))
+
+
+def symbols_of(text):
+    return b"\n" + b" ".join((text or "").encode().lower().split()) + b"\n"
+
+
+@pytest.mark.parametrize("share, min_count, chunk_keys", [(suffix_tree.WORD_SHARE, 2, 500), (1e-2, 30, 1 << 22)])
+def test_suffix_tree(spark, docs, nothing, share, min_count, chunk_keys):
+    odd = [(900 + i, t, "en", "a", 1, None, None, None) for i, t in enumerate(["\0" * 50, "abc\0def", "abc def", "ÿþ \u0100"])]
+    docs = docs.union(spark.createDataFrame(odd, DOCS))
+    got = rows(suffix_tree.scored(docs, min_count, share, chunk_keys))
+    given, counts = docs.select("doc_id", "text").collect(), Counter()
+    held = {d.doc_id: zlib.crc32(("" if d.doc_id is None else str(d.doc_id)).encode()) % 5 == 1 for d in given}
+    train = [symbols_of(d.text) for d in given if not held[d.doc_id]]
+    for s in train:
+        counts.update(s.split() + [b"\n"])
+    n, v, tree = sum(counts.values()), len(counts), BruteTree(train, min_count)
+    assert len(tree.states) > 40
+    text = {d.doc_id: d.text for d in given}
     for r in got:
-        w = (text[r["doc_id"]] or "").encode().lower().split() + [b"\n"]
+        s = symbols_of(text[r["doc_id"]])
+        w = s.split() + [b"\n"]
         base = sum(math.log10((counts[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w)
         assert (r["held_out"], r["n_tokens"], r["train_tokens"]) == (held[r["doc_id"]], len(w), n)
         assert r["n_known"] == sum(counts[x] > 0 for x in w)
-        assert r["base_score"] == pytest.approx(base) and r["score"] <= 0
-    assert len(got) == docs.count() and rows(suffix_tree.scored(nothing)) == []
-
-
-def test_suffix_tree_is_a_distribution(docs):
-    states, entries = suffix_tree.tree(suffix_tree.corpus_counts(docs), 1e-4)
-    model = suffix_tree.Model(states.toArrow(), entries.toArrow())
-    assert len(model.levels[2][0]) > 0
-    keys = suffix_tree._keys(np.frombuffer(suffix_tree._stream([b"anbe", b"du"]), np.uint8))[1:]
-    for key in keys[-3:]:
-        every = (key & ~np.int64(255)) | np.arange(257)[:256]
-        assert 10 ** model.log10(every).clip(-300) @ np.ones(256) == pytest.approx(1, abs=0.01)
+        assert r["base_score"] == pytest.approx(base) and r["score"] == pytest.approx(tree.score(s))
+    assert len(got) == len(given) and rows(suffix_tree.scored(nothing)) == []
+
+
+def test_suffix_tree_is_a_distribution(spark, docs):
+    texts = [suffix_tree._stream(suffix_tree._words(d.text)) for d in docs.select("text").collect()]
+    keys = Counter(int(k) for t in texts for k in (lambda x: x[suffix_tree._predicted(x)])(suffix_tree._keys(np.frombuffer(t, np.uint8))))
+    contexts = {k & ~255 for k in random.Random(3).sample(sorted(keys), 40)}
+    table = [(k, keys[k]) for k in {*keys, *(c | x for c in contexts for x in range(256))}]
+    for min_count in (1, 2, 50, 10**9):
+        found = {r.key: r.p for r in suffix_tree.probabilities(spark.createDataFrame(table, "key long, n long"), min_count).collect()}
+        for c in contexts:
+            assert sum(found[c | x] for x in range(256)) == pytest.approx(1)
+
+
+def test_suffix_tree_counts_long_texts_in_parts():
+    long = suffix_tree._stream([bytes(np.random.default_rng(1).integers(97, 100, 2 * suffix_tree._FOLD + 77, np.uint8))])
+    short = suffix_tree._stream([b"abc", b"abd"])
+    counts = suffix_tree._Counts()
+    for stream, train in ((short, True), (long, True), (short, True), (short, False)):
+        counts.add(stream, train)
+    counts.fold()
+    whole = np.concatenate([suffix_tree._keys(np.frombuffer(s, np.uint8)) for s in (long, short, short)])
+    keys, n = np.unique(whole[suffix_tree._predicted(whole)], return_counts=True)
+    assert (counts.keys == keys).all() and (counts.n == n).all()
 
 
 def test_warc(spark):

@@ -2,23 +2,31 @@
 
 The model reads a text as the bytes of its lower-cased words with one space between them,
 between a start and an end mark. Next-symbol counts after every context of up to
-``DEPTH`` symbols are gathered from all training texts. A context becomes a state of the
-tree if it makes up at least ``MIN_SHARE`` of the symbols and passes the divergence test:
-its next-symbol distribution must differ from that of its own suffix by more nats (times
-its count) than chance gives for so many different next symbols. Suffixes of states are
-states. A state's distribution is smoothed with that of its suffix, by Witten and Bell;
-the empty context is smoothed evenly. A text is scored symbol by symbol from the longest
-suffix of what was read that is a state; the product over all symbols is the probability
-of its words and end.
-
-``MIN_SHARE`` bounds the tree: at most 1 / ``MIN_SHARE`` states of each depth, and
-``4 / MIN_SHARE`` next-symbol entries of each depth, whatever the corpus; so the tree is broadcast.
+``DEPTH`` symbols are gathered from all training texts. A context is a state of the tree if
+it occurs at least ``min_count`` times and passes the divergence test: its next-symbol
+distribution must differ from that of its suffix by more nats (times its count) than chance
+gives for so many different next symbols. A state's distribution is smoothed with that of its
+longest suffix that is a state, by Witten and Bell; the empty context, smoothed evenly over the
+bytes, is always one. A text is scored symbol by symbol from the longest suffix of what was
+read that is a state; the product over all symbols is the probability of its words and end.
+
+Nothing else bounds the tree, which grows with the corpus, so it is a table that no task or
+driver holds:
+
+1. One pass over the texts makes chunks of at most ``CHUNK_KEYS`` distinct (context, symbol)
+   keys (or one text), with each key once and its training count, and keeps the texts' symbols.
+2. Keys are summed over chunks; held-out ones come with count 0. Their probabilities are found
+   two symbols of context at a time: keys of one context two symbols shorter are in one group,
+   of at most 256 ** 3 keys by construction, together with the probabilities after that context.
+3. Each chunk's keys look up their probability by a join, are packed by chunk, and meet the
+   symbols of the chunk's texts.
+
 Word counts of the baseline are looked up like token counts: words with at least
 ``WORD_SHARE`` of all occurrences in the task, all others by a join.
 
 Training texts are those whose crc32 of the id as text is not 1 modulo 5; a NULL id counts
 as the empty text. NULL and empty texts are the end alone. Equal rows count one by one.
-With no training text every symbol has the same probability.
+With no training text every symbol has the same probability. U+0000 is a symbol like others.
 """
 
 from __future__ import annotations
@@ -28,16 +36,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from touchpath.llm.common import written
 
-DEPTH, MIN_SHARE, WORD_SHARE = 6, 1e-6, 5e-7
+DEPTH, STEP, MIN_COUNT, WORD_SHARE = 6, 2, 2, 5e-7
 FOLDS, HELD_FOLD = 5, 1
 MARK = b"\n"  # start and end; no word contains it
-SYMBOLS = 257
-_CHUNK, _KEEP, _FLUSH = 1 << 23, 1 << 22, 1_000_000
+PAD = 0xFF  # before the start; no byte of UTF-8
+SYMBOLS = 256
+CHUNK_KEYS = 1 << 22
+_FOLD, _FLUSH, _ROWS = 1 << 23, 1_000_000, 1 << 20
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -45,7 +56,7 @@ def _words(text: str | None) -> list[bytes]:
 
 
 def _stream(words: list[bytes]) -> bytes:
-    return bytes(DEPTH) + MARK + b" ".join(words) + MARK
+    return bytes([PAD]) * DEPTH + MARK + b" ".join(words) + MARK
 
 
 def _keys(stream: np.ndarray) -> np.ndarray:
@@ -57,207 +68,283 @@ def _keys(stream: np.ndarray) -> np.ndarray:
     return keys
 
 
-def _mask(depth: int) -> int:
-    return ((1 << 8 * depth) - 1) << (8 * (DEPTH + 1 - depth))
+def _predicted(keys: np.ndarray) -> np.ndarray:
+    """Whether a key's symbol counts: it is no padding and has a symbol before it."""
+    return ((keys & 255) != PAD) & (((keys >> 8 * DEPTH) & 255) != PAD)
 
 
-def _unique(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    if counts is None:
-        return np.unique(keys, return_counts=True)
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, int)
-    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+def _mask(depth: int) -> int:
+    return ((1 << 8 * depth) - 1) << (8 * (DEPTH + 1 - depth))
 
 
 class _Counts:
-    """Symbol keys counted in chunks."""
+    """The distinct keys of a chunk's texts and how often each occurs in training texts."""
 
     def __init__(self) -> None:
-        self.parts: list[bytes] = []
+        self.parts: tuple[list[bytes], list[bytes]] = ([], [])
         self.size = 0
         self.keys, self.n = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def add(self, stream: bytes) -> None:
-        self.parts.append(stream)
+    def add(self, stream: bytes, train: bool) -> None:
+        self.parts[train].append(stream)
         self.size += len(stream)
-        if self.size > _CHUNK:
+        if self.size > _FOLD:
             self.fold()
 
     def fold(self) -> None:
-        if not self.parts:
-            return
-        stream = np.frombuffer(b"".join(self.parts), np.uint8)
-        self.parts, self.size = [], 0
-        keys = _keys(stream)
-        # a predicted symbol is no padding and has one before it
-        keys = keys[((keys & 255) != 0) & (((keys >> 8 * DEPTH) & 255) != 0)]
-        new, n = _unique(keys)
-        self.keys, self.n = _unique(np.concatenate((self.keys, new)), np.concatenate((self.n, n)))
-
-
-def corpus_counts(docs: DataFrame) -> DataFrame:
-    """(word, key, n) of the training texts: words with their end, and symbols in context."""
-
-    def batch_of(words: Counter, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([
-            pa.array([*words.keys(), *[None] * len(keys)], pa.binary()),
-            pa.concat_arrays([pa.nulls(len(words), pa.int64()), pa.array(keys)]),
-            pa.concat_arrays([pa.array(words.values(), pa.int64()), pa.array(n, pa.int64())]),
-        ], ["word", "key", "n"])
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, symbols = Counter(), _Counts()
-        empty = np.zeros(0, np.int64)
-        for batch in batches:
-            for value in batch.column(0):
-                found = _words(value.as_py())
-                words.update(found)
-                words[MARK] += 1
-                symbols.add(_stream(found))
-            if len(words) > _FLUSH:
-                yield batch_of(words, empty, empty)
-                words.clear()
-            if len(symbols.keys) > _KEEP:
-                yield batch_of(Counter(), symbols.keys, symbols.n)
-                symbols = _fresh(symbols)
-        symbols.fold()
-        yield batch_of(words, symbols.keys, symbols.n)
+        for train, parts in enumerate(self.parts):
+            stream = np.frombuffer(b"".join(parts), np.uint8)
+            parts.clear()
+            for at in range(0, len(stream) - DEPTH, _FOLD):
+                keys = _keys(stream[at:at + _FOLD + DEPTH])
+                new, n = np.unique(keys[_predicted(keys)], return_counts=True)
+                self._merge(new, n * train)
+        self.size = 0
 
-    train = docs.where(_fold() != HELD_FOLD).select("text")
-    return train.mapInArrow(count, "word binary, key long, n long").groupBy("word", "key").agg(F.sum("n").alias("n"))
+    def _merge(self, new: np.ndarray, n: np.ndarray) -> None:
+        keys, n = np.concatenate((self.keys, new)), np.concatenate((self.n, n))
+        order = np.argsort(keys, kind="stable")
+        keys, n = keys[order], n[order]
+        first = _firsts(keys)
+        self.keys, self.n = keys[first], np.add.reduceat(n, first) if len(first) else n
 
 
-def _fresh(old: _Counts) -> _Counts:
-    new = _Counts()
-    new.parts, new.size = old.parts, old.size
-    return new
+def _firsts(values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))) if len(values) else np.zeros(0, int)
 
 
 def _fold() -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS))
 
 
-def tree(counts: DataFrame, min_share: float = MIN_SHARE) -> tuple[DataFrame, DataFrame]:
-    """States (depth, context, n, kinds) and entries (depth, key, n) of the suffix tree."""
-    symbols = counts.where("key is not null").select("key", "n")
-    total = symbols.agg(F.sum("n")).first()[0] or 0
-    levels = symbols.select(F.explode(F.array(*[F.struct(
-        F.lit(d).alias("depth"), F.col("key").bitwiseAND(F.lit(_mask(d))).alias("context"),
-        F.col("key").bitwiseAND(F.lit(255)).alias("next"),
-        ((F.shiftright("key", 8 * (DEPTH + 1 - d)).bitwiseAND(F.lit(255)) != 0) | F.lit(d == 0)).alias("whole"),
-    ) for d in range(DEPTH + 1)])).alias("x"), "n").where("x.whole").select("x.depth", "x.context", "x.next", "n")
-    nexts = written(levels.groupBy("depth", "context", "next").agg(F.sum("n").alias("n")), "tree-nexts")
-    sizes = nexts.groupBy("depth", "context").agg(F.sum("n").alias("all"), F.count(F.lit(1)).alias("kinds")).where(
-        (F.col("all") >= min_share * total) | (F.col("depth") == 0))
-    sizes = written(sizes, "tree-sizes")
-    entries = nexts.join(sizes, ["depth", "context"])
-    parent = F.coalesce(*[F.when(F.col("depth") == d, F.col("context").bitwiseAND(F.lit(_mask(d - 1)))) for d in range(1, DEPTH + 1)])
-    above = entries.select(
-        (F.col("depth") + 1).alias("depth"), F.col("context").alias("parent"), "next", (F.col("n") / F.col("all")).alias("q"))
-    gain = F.col("n") * F.log(F.col("n") / F.col("all") / F.col("q"))
-    tested = entries.withColumn("parent", parent).join(above, ["depth", "parent", "next"]).groupBy("depth", "context").agg(
-        F.sum(gain).alias("gain"), F.first("kinds").alias("kinds")).where("gain > kinds")
-    closed = tested.select(F.explode(F.array(*[
-        F.when(F.col("depth") >= d, F.struct(F.lit(d).alias("depth"), F.col("context").bitwiseAND(F.lit(_mask(d))).alias("context")))
-        for d in range(1, DEPTH + 1)])).alias("x")).where("x is not null").select("x.*").distinct()
-    kept = written(sizes.join(closed, ["depth", "context"], "left_semi").union(sizes.where("depth = 0")), "tree-states")
-    strong = nexts.where((F.col("n") >= min_share * total / 4) | (F.col("depth") == 0)).join(kept, ["depth", "context"], "left_semi")
-    return kept.select("depth", "context", F.col("all").alias("n"), "kinds"), strong.select(
-        "depth", F.col("context").bitwiseOR(F.col("next")).alias("key"), "n")
-
-
-class Model:
-    """The tree in arrays; gives log10 probabilities of symbol keys."""
-
-    def __init__(self, states: pa.Table, entries: pa.Table) -> None:
-        def columns(t: pa.Table, *names: str) -> list[np.ndarray]:
-            return [t.column(c).to_numpy() for c in names]
-        depth, context, n, kinds = columns(states, "depth", "context", "n", "kinds")
-        e_depth, key, e_n = columns(entries, "depth", "key", "n")
-        self.levels = []
-        for d in range(DEPTH + 1):
-            s, e = np.flatnonzero(depth == d), np.flatnonzero(e_depth == d)
-            s, e = s[np.argsort(context[s])], e[np.argsort(key[e])]
-            self.levels.append((context[s], n[s].astype(float), kinds[s].astype(float), key[e], e_n[e].astype(float)))
-
-    @staticmethod
-    def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if not len(table):
-            return np.zeros(len(keys), int), np.zeros(len(keys), bool)
-        at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
-        return at, table[at] == keys
-
-    def log10(self, keys: np.ndarray) -> np.ndarray:
-        _, total, _, symbols, n = self.levels[0]
-        at, hit = self._find(symbols, keys & 255)
-        p = (np.where(hit, n[at] if len(n) else 0.0, 0.0) + 0.5) / ((total[0] if len(total) else 0.0) + 0.5 * SYMBOLS)
-        left = np.arange(len(keys))
-        for d in range(1, DEPTH + 1):
-            contexts, totals, kinds, table, n = self.levels[d]
-            at, hit = self._find(contexts, keys[left] & _mask(d))
-            left, at = left[hit], at[hit]
-            if not len(left):
-                break
-            e, found = self._find(table, keys[left] & (_mask(d) | 255))
-            c = np.where(found, n[e] if len(n) else 0.0, 0.0)
-            p[left] = (c + kinds[at] * p[left]) / (totals[at] + kinds[at])
-        return np.log10(p)
-
-    def scores(self, streams: list[bytes]) -> list[float]:
-        """log10 probability of each padded stream."""
-        stream = np.frombuffer(b"".join(streams), np.uint8)
-        keys, at = np.unique(_keys(stream), return_inverse=True)
-        real = ((keys & 255) != 0) & (((keys >> 8 * DEPTH) & 255) != 0)
-        logs = np.zeros(len(keys))
-        logs[real] = self.log10(keys[real])
-        logs = logs[at]
-        # the padding at the front of the buffer has no keys; that of later streams scores 0
-        ends = np.cumsum([len(s) for s in streams]) - DEPTH
-        return [float(logs[a:b].sum()) for a, b in zip([0, *ends[:-1]], ends)]
-
-
-def scored(docs: DataFrame, min_share: float = MIN_SHARE, word_share: float = WORD_SHARE) -> DataFrame:
+READ = "doc_id long, held_out boolean, row long, chunk long, stream binary, word binary, key long, n long"
+_ARROW = {"long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary(), "double": pa.float64()}
+
+
+def _batch(schema: str, size: int, **columns) -> pa.RecordBatch:
+    """A batch of ``schema``; columns not given are NULL."""
+    fields = [f.split() for f in schema.split(", ")]
+    def column(name: str, kind: pa.DataType) -> pa.Array:
+        values = columns.get(name)
+        if values is None:
+            return pa.nulls(size, kind)
+        return values if isinstance(values, pa.Array) else pa.array(values, kind)
+
+    return pa.RecordBatch.from_arrays([column(name, _ARROW[kind]) for name, kind in fields], [name for name, _ in fields])
+
+
+def read(docs: DataFrame, chunk_keys: int = CHUNK_KEYS) -> DataFrame:
+    """One table of three kinds of rows: texts as symbols (``stream``), training words, keys of chunks.
+
+    A chunk is named by task and number; the table has to be written before it is used twice.
+    """
+
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, words, counts = TaskContext.get().partitionId() << 32, Counter(), _Counts()
+
+        def keys() -> pa.RecordBatch:
+            counts.fold()
+            size = len(counts.keys)
+            return _batch(READ, size, chunk=np.full(size, chunk), key=counts.keys, n=counts.n)
+
+        for batch in batches:
+            streams, of = [], []
+            for text, held in zip(batch.column(1), batch.column(2)):
+                found = _words(text.as_py())
+                if not held.as_py():
+                    words.update(found)
+                    words[MARK] += 1
+                streams.append(_stream(found))
+                of.append(chunk)
+                counts.add(streams[-1], not held.as_py())
+                if len(counts.keys) > chunk_keys:
+                    yield keys()
+                    chunk, counts = chunk + 1, _Counts()
+            yield _batch(READ, len(streams), doc_id=batch.column(0), held_out=batch.column(2), row=batch.column(3), chunk=of, stream=streams)
+            if len(words) > _FLUSH:
+                yield _batch(READ, len(words), word=list(words), n=list(words.values()))
+                words.clear()
+        yield _batch(READ, len(words), word=list(words), n=list(words.values()))
+        yield keys()
+
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", (_fold() == HELD_FOLD).alias("held_out"),
+        F.monotonically_increasing_id().alias("row"),
+    ).mapInArrow(chunks, READ)
+
+
+def _deepened(keys: np.ndarray, n: np.ndarray, q: np.ndarray, p: np.ndarray, depth: int, min_count: int):
+    """Sorted keys of ``depth`` with their raw and smoothed probabilities.
+
+    Rows with n = -1 are those STEP symbols shorter, with q and p.
+    """
+    shorter = n < 0
+    above, q, p = keys[shorter], q[shorter], p[shorter]
+    keys, n = keys[~shorter], n[~shorter]
+    if not len(keys):
+        return keys, np.zeros(0), np.zeros(0)
+    for d in range(depth - STEP + 1, depth + 1):
+        entries, entry_of = np.unique(keys & (_mask(d) | 255), return_inverse=True)
+        times = np.bincount(entry_of, n)
+        contexts = entries & _mask(d)
+        first = _firsts(contexts)
+        of = np.repeat(np.arange(len(first)), np.diff([*first, len(entries)]))
+        total, kinds = np.add.reduceat(times, first), np.add.reduceat((times > 0).astype(float), first)
+        at = np.searchsorted(above, entries & (_mask(d - 1) | 255))
+        raw = times / np.maximum(total, 1)[of]
+        seen = times > 0
+        gain = np.zeros(len(entries))
+        gain[seen] = times[seen] * np.log(raw[seen] / q[at][seen])
+        whole = (contexts[first] >> (8 * (DEPTH + 1 - d))) & 255 != PAD
+        state = whole & (total >= min_count) & (np.add.reduceat(gain, first) > kinds)
+        smoothed = (times + kinds[of] * p[at]) / np.maximum(total + kinds, 1)[of]
+        above, q, p = entries, raw, np.where(state[of], smoothed, p[at])
+    return above, q, p
+
+
+def probabilities(keys: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
+    """(key, q, p) for (key, n): each key's symbol after its longest context that is a state.
+
+    Keys with n = 0 get a probability but take no part in the model.
+    """
+    symbol = F.col("key").bitwiseAND(F.lit(255))
+    total = keys.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    level = keys.groupBy(symbol.alias("key")).agg(F.sum("n").alias("n")).select(
+        "key", (F.col("n") / F.lit(float(max(total, 1)))).alias("q"),
+        ((F.col("n") + 0.5) / F.lit(total + 0.5 * SYMBOLS)).alias("p"))
+    for depth in range(STEP, DEPTH + 1, STEP):
+        longer = keys if depth == DEPTH else keys.groupBy(
+            F.col("key").bitwiseAND(F.lit(_mask(depth) | 255)).alias("key")).agg(F.sum("n").alias("n"))
+        level = written(_longer(longer, level, depth, min_count), "tree-level")
+    return level
+
+
+def _longer(keys: DataFrame, shorter: DataFrame, depth: int, min_count: int) -> DataFrame:
+    group = _mask(depth - STEP)
+    result = "key long, q double, p double"
+
+    def deepen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def found(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            key, q, p = _deepened(*rows, depth, min_count)
+            for a in range(0, len(key), _ROWS):
+                yield _batch(result, len(key[a:a + _ROWS]), key=key[a:a + _ROWS], q=q[a:a + _ROWS], p=p[a:a + _ROWS])
+
+        for batch in batches:
+            held.append([c.to_numpy() for c in batch.columns])
+            size += batch.num_rows
+            if size > _ROWS:
+                rows = [np.concatenate(c) for c in zip(*held)]
+                # all rows of a group go together: the last group waits for the next batch
+                cut = np.searchsorted(rows[0], rows[0][-1] & group)
+                if cut:
+                    yield from found([c[:cut] for c in rows])
+                held, size = [[c[cut:] for c in rows]], len(rows[0]) - cut
+        if held:
+            yield from found([np.concatenate(c) for c in zip(*held)])
+
+    rows = keys.select("key", "n", F.lit(0.0).alias("q"), F.lit(0.0).alias("p")).unionByName(
+        shorter.select("key", F.lit(-1).cast("long").alias("n"), "q", "p"))
+    return rows.repartition(F.col("key").bitwiseAND(F.lit(group))).sortWithinPartitions("key").mapInArrow(deepen, result)
+
+
+PACKED = "chunk long, keys binary, logs binary"
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(chunk, key, log) rows as one row per chunk and million of rows."""
+
+    def pack(held: list[list[np.ndarray]]) -> pa.RecordBatch:
+        chunk, key, log = (np.concatenate(c) for c in zip(*held))
+        order = np.argsort(chunk, kind="stable")
+        chunk, key, log = chunk[order], key[order], log[order]
+        first = _firsts(chunk)
+        ends = [*first[1:], len(chunk)]
+        return _batch(PACKED, len(first), chunk=chunk[first], keys=[key[a:b].tobytes() for a, b in zip(first, ends)],
+                      logs=[log[a:b].tobytes() for a, b in zip(first, ends)])
+
+    held, size = [], 0
+    for batch in batches:
+        held.append([c.to_numpy() for c in batch.columns])
+        size += batch.num_rows
+        if size > _ROWS:
+            yield pack(held)
+            held, size = [], 0
+    if size:
+        yield pack(held)
+
+
+class _Table:
+    """The log10 probabilities of a chunk's keys."""
+
+    def __init__(self, keys: list[bytes], logs: list[bytes]) -> None:
+        key, log = np.frombuffer(b"".join(keys), np.int64), np.frombuffer(b"".join(logs), np.float64)
+        order = np.argsort(key)
+        self.keys, self.logs = key[order], log[order]
+
+    def score(self, stream: bytes) -> float:
+        symbols, total = np.frombuffer(stream, np.uint8), 0.0
+        for at in range(0, len(symbols) - DEPTH, _FOLD):
+            keys = _keys(symbols[at:at + _FOLD + DEPTH])
+            total += float(self.logs[np.searchsorted(self.keys, keys[_predicted(keys)])].sum())
+        return total
+
+
+def scored(docs: DataFrame, min_count: int = MIN_COUNT, word_share: float = WORD_SHARE, chunk_keys: int = CHUNK_KEYS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, one row per input row."""
     spark = docs.sparkSession
-    counts = written(corpus_counts(docs), "lm-counts")
-    words = counts.where("word is not null").select("word", F.col("n").alias("c"))
+    prepared = written(read(docs, chunk_keys), "lm-read")
+    words = written(prepared.where("word is not null").groupBy("word").agg(F.sum("n").alias("c")), "lm-words")
     n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     whole = float(n + 0.5 * (v + 1))
     often = F.col("c") >= word_share * n
     common = spark.sparkContext.broadcast({bytes(r[0]): r[1] for r in words.where(often).collect()})
-    states, entries = tree(counts, min_share)
-    model = spark.sparkContext.broadcast(Model(states.toArrow(), entries.toArrow()))
+
+    uses = prepared.where("key is not null")
+    found = probabilities(written(uses.groupBy("key").agg(F.sum("n").alias("n")), "lm-keys"), min_count)
+    looked_up = uses.select("chunk", "key").join(found.select("key", F.log10("p").alias("log")).hint("shuffle_hash"), "key")
+    tables = looked_up.select("chunk", "key", "log").mapInArrow(_packed, PACKED)
+    texts = prepared.where("stream is not null").select("chunk", "doc_id", "row", "held_out", "stream")
+    result = "doc_id long, row long, held_out boolean, n_tokens long, known long, base double, score double, rare map<binary,long>"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known_words, lm = common.value, model.value
-        logs = {w: float(np.log10((c + 0.5) / whole)) for w, c in known_words.items()}
+        logs = {w: float(np.log10((c + 0.5) / whole)) for w, c in common.value.items()}
+        current, keys, values, lm = None, [], [], None
         for batch in batches:
-            tokens, known, base, rest, result, waiting, size = [], [], [], [], [], [], 0
-            for value in batch.column(1):
-                found = _words(value.as_py())
-                counted = Counter(found)
+            columns = {name: batch.column(name) for name in batch.schema.names}
+            out = [[] for _ in range(8)]
+            for i in range(batch.num_rows):
+                stream = columns["stream"][i].as_py()
+                if stream is None:
+                    if columns["chunk"][i].as_py() != current:
+                        current, keys, values = columns["chunk"][i].as_py(), [], []
+                    keys.append(columns["keys"][i].as_py())
+                    values.append(columns["logs"][i].as_py())
+                    lm = None
+                    continue
+                if lm is None:
+                    lm = _Table(keys, values)
+                    keys, values = [], []
+                words = stream[DEPTH + 1:-1].split()
+                counted = Counter(words)
                 counted[MARK] += 1
                 rare = {w: k for w, k in counted.items() if w not in logs}
-                tokens.append(len(found) + 1)
-                known.append(len(found) + 1 - sum(rare.values()))
-                base.append(sum(logs[w] * k for w, k in counted.items() if w in logs))
-                rest.append(list(rare.items()))
-                waiting.append(_stream(found))
-                size += len(waiting[-1])
-                if size > _CHUNK:
-                    result += lm.scores(waiting)
-                    waiting, size = [], 0
-            result += lm.scores(waiting) if waiting else []
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(2), batch.column(3), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()),
-                pa.array(base, pa.float64()), pa.array(result, pa.float64()), pa.array(rest, pa.map_(pa.binary(), pa.int64())),
-            ], ["doc_id", "row", "held_out", "n_tokens", "known", "base", "score", "rare"])
-
-    rows = written(docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("row"),
-        (_fold() == HELD_FOLD).alias("held_out"),
-    ).mapInArrow(score, "doc_id long, row long, held_out boolean, n_tokens long, known long, base double, score double, rare map<binary,long>"), "lm-rows")
+                for to, value in zip(out, (
+                    columns["doc_id"][i].as_py(), columns["row"][i].as_py(), columns["held_out"][i].as_py(), len(words) + 1,
+                    len(words) + 1 - sum(rare.values()), sum(logs[w] * k for w, k in counted.items() if w in logs),
+                    lm.score(stream), list(rare.items()),
+                )):
+                    to.append(value)
+            long = pa.int64()
+            kinds = [long, long, pa.bool_(), long, long, pa.float64(), pa.float64(), pa.map_(pa.binary(), long)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], [f.split()[0] for f in result.split(", ")])
+
+    # of a chunk, its keys come before its texts
+    met = tables.unionByName(texts, allowMissingColumns=True).repartition("chunk").sortWithinPartitions(
+        "chunk", F.col("stream").isNotNull())
+    rows = written(met.mapInArrow(score, result), "lm-rows")
     log = F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(whole))
     extra = rows.select("row", F.explode("rare").alias("word", "times")).join(words.where(~often), "word", "left").groupBy("row").agg(
         F.sum(F.col("times") * log).alias("more"), F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("seen"))
