@@ -15,11 +15,14 @@ driver holds:
 
 1. One pass over the texts makes chunks of at most ``CHUNK_KEYS`` distinct (context, symbol)
    keys (or one text), with each key once and its training count, and keeps the texts' symbols.
+   Tasks of less than ``TASK_BYTES`` of text are joined as far as all cores stay busy, since
+   fewer chunks repeat fewer keys.
 2. Keys are summed over chunks; held-out ones come with count 0. Their probabilities are found
    two symbols of context at a time: keys of one context two symbols shorter are in one group,
    of at most 256 ** 3 keys by construction, together with the probabilities after that context.
 3. Each chunk's keys look up their probability by a join, are packed by chunk, and meet the
-   symbols of the chunk's texts.
+   symbols of the chunk's texts. Logarithms travel there with 24 bits, which leaves a score
+   its first seven digits.
 
 Word counts of the baseline are looked up like token counts: words with at least
 ``WORD_SHARE`` of all occurrences in the task, all others by a join.
@@ -31,11 +34,13 @@ With no training text every symbol has the same probability. U+0000 is a symbol
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,7 +52,7 @@ FOLDS, HELD_FOLD = 5, 1
 MARK = b"\n"  # start and end; no word contains it
 PAD = 0xFF  # before the start; no byte of UTF-8
 SYMBOLS = 256
-CHUNK_KEYS = 1 << 22
+CHUNK_KEYS, TASK_BYTES = 1 << 22, 1 << 27
 _FOLD, _FLUSH, _ROWS = 1 << 23, 1_000_000, 1 << 20
 
 
@@ -253,16 +258,27 @@ def _longer(keys: DataFrame, shorter: DataFrame, depth: int, min_count: int) ->
 PACKED = "chunk long, keys binary, logs binary"
 
 
+def _pack(keys: np.ndarray) -> bytes:
+    """Ascending keys by their differences, all first bytes, all second ones and so on, compressed."""
+    steps = np.diff(keys, prepend=0).view(np.uint8).reshape(-1, 8)
+    return zstandard.compress(steps.T.tobytes(), 1)
+
+
+def _unpack(packed: bytes) -> np.ndarray:
+    steps = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(8, -1)
+    return np.cumsum(np.ascontiguousarray(steps.T).view(np.int64).ravel())
+
+
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(chunk, key, log) rows as one row per chunk and million of rows."""
 
     def pack(held: list[list[np.ndarray]]) -> pa.RecordBatch:
         chunk, key, log = (np.concatenate(c) for c in zip(*held))
-        order = np.argsort(chunk, kind="stable")
-        chunk, key, log = chunk[order], key[order], log[order]
+        order = np.lexsort((key, chunk))
+        chunk, key, log = chunk[order], key[order], log[order].astype(np.float32)
         first = _firsts(chunk)
         ends = [*first[1:], len(chunk)]
-        return _batch(PACKED, len(first), chunk=chunk[first], keys=[key[a:b].tobytes() for a, b in zip(first, ends)],
+        return _batch(PACKED, len(first), chunk=chunk[first], keys=[_pack(key[a:b]) for a, b in zip(first, ends)],
                       logs=[log[a:b].tobytes() for a, b in zip(first, ends)])
 
     held, size = [], 0
@@ -280,9 +296,9 @@ class _Table:
     """The log10 probabilities of a chunk's keys."""
 
     def __init__(self, keys: list[bytes], logs: list[bytes]) -> None:
-        key, log = np.frombuffer(b"".join(keys), np.int64), np.frombuffer(b"".join(logs), np.float64)
+        key, log = np.concatenate([_unpack(k) for k in keys]), np.frombuffer(b"".join(logs), np.float32)
         order = np.argsort(key)
-        self.keys, self.logs = key[order], log[order]
+        self.keys, self.logs = key[order], log[order].astype(np.float64)
 
     def score(self, stream: bytes) -> float:
         symbols, total = np.frombuffer(stream, np.uint8), 0.0
@@ -295,7 +311,9 @@ class _Table:
 def scored(docs: DataFrame, min_count: int = MIN_COUNT, word_share: float = WORD_SHARE, chunk_keys: int = CHUNK_KEYS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, one row per input row."""
     spark = docs.sparkSession
-    prepared = written(read(docs, chunk_keys), "lm-read")
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(size / TASK_BYTES))
+    prepared = written(read(docs.coalesce(tasks), chunk_keys), "lm-read")
     words = written(prepared.where("word is not null").groupBy("word").agg(F.sum("n").alias("c")), "lm-words")
     n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     whole = float(n + 0.5 * (v + 1))
