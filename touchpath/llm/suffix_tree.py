@@ -53,7 +53,7 @@ MARK = b"\n"  # start and end; no word contains it
 PAD = 0xFF  # before the start; no byte of UTF-8
 SYMBOLS = 256
 CHUNK_KEYS, TASK_BYTES = 1 << 22, 1 << 27
-_FOLD, _FLUSH, _ROWS = 1 << 23, 1_000_000, 1 << 20
+_FOLD, _FLUSH, _ROWS, _SENT = 1 << 22, 1_000_000, 1 << 20, 1 << 16
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -148,10 +148,17 @@ def read(docs: DataFrame, chunk_keys: int = CHUNK_KEYS) -> DataFrame:
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunk, words, counts = TaskContext.get().partitionId() << 32, Counter(), _Counts()
 
-        def keys() -> pa.RecordBatch:
+        def keys() -> Iterator[pa.RecordBatch]:
             counts.fold()
-            size = len(counts.keys)
-            return _batch(READ, size, chunk=np.full(size, chunk), key=counts.keys, n=counts.n)
+            for a in range(0, len(counts.keys), _SENT):
+                key, n = counts.keys[a:a + _SENT], counts.n[a:a + _SENT]
+                yield _batch(READ, len(key), chunk=np.full(len(key), chunk), key=key, n=n)
+
+        def counted_words() -> Iterator[pa.RecordBatch]:
+            found = list(words.items())
+            for a in range(0, len(found), _SENT):
+                word, n = zip(*found[a:a + _SENT])
+                yield _batch(READ, len(word), word=word, n=n)
 
         for batch in batches:
             streams, of = [], []
@@ -164,14 +171,14 @@ def read(docs: DataFrame, chunk_keys: int = CHUNK_KEYS) -> DataFrame:
                 of.append(chunk)
                 counts.add(streams[-1], not held.as_py())
                 if len(counts.keys) > chunk_keys:
-                    yield keys()
+                    yield from keys()
                     chunk, counts = chunk + 1, _Counts()
             yield _batch(READ, len(streams), doc_id=batch.column(0), held_out=batch.column(2), row=batch.column(3), chunk=of, stream=streams)
             if len(words) > _FLUSH:
-                yield _batch(READ, len(words), word=list(words), n=list(words.values()))
+                yield from counted_words()
                 words.clear()
-        yield _batch(READ, len(words), word=list(words), n=list(words.values()))
-        yield keys()
+        yield from counted_words()
+        yield from keys()
 
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), "text", (_fold() == HELD_FOLD).alias("held_out"),
@@ -234,8 +241,9 @@ def _longer(keys: DataFrame, shorter: DataFrame, depth: int, min_count: int) ->
 
         def found(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
             key, q, p = _deepened(*rows, depth, min_count)
-            for a in range(0, len(key), _ROWS):
-                yield _batch(result, len(key[a:a + _ROWS]), key=key[a:a + _ROWS], q=q[a:a + _ROWS], p=p[a:a + _ROWS])
+            for a in range(0, len(key), _SENT):
+                b = a + _SENT
+                yield _batch(result, len(key[a:b]), key=key[a:b], q=q[a:b], p=p[a:b])
 
         for batch in batches:
             held.append([c.to_numpy() for c in batch.columns])
