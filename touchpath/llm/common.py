@@ -35,11 +35,14 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read again: cuts lineage and survives lost executors."""
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Write to the shared folder and read again: cuts lineage and survives lost executors.
+
+    ``options`` are those of the Parquet writer.
+    """
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -216,7 +216,7 @@ def _deepened(keys: np.ndarray, n: np.ndarray, q: np.ndarray, p: np.ndarray, dep
 
 
 def probabilities(keys: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
-    """(key, q, p) for (key, n): each key's symbol after its longest context that is a state.
+    """(key, p) for (key, n): each key's symbol after its longest context that is a state.
 
     Keys with n = 0 get a probability but take no part in the model.
     """
@@ -228,7 +228,9 @@ def probabilities(keys: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
     for depth in range(STEP, DEPTH + 1, STEP):
         longer = keys if depth == DEPTH else keys.groupBy(
             F.col("key").bitwiseAND(F.lit(_mask(depth) | 255)).alias("key")).agg(F.sum("n").alias("n"))
-        level = written(_longer(longer, level, depth, min_count), "tree-level")
+        level = _longer(longer, level, depth, min_count)
+        # only longer contexts need the raw q
+        level = written(level.drop("q") if depth == DEPTH else level, "tree-level", compression="zstd")
     return level
 
 
@@ -321,7 +323,7 @@ def scored(docs: DataFrame, min_count: int = MIN_COUNT, word_share: float = WORD
     spark = docs.sparkSession
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     tasks = max(spark.sparkContext.defaultParallelism, math.ceil(size / TASK_BYTES))
-    prepared = written(read(docs.coalesce(tasks), chunk_keys), "lm-read")
+    prepared = written(read(docs.coalesce(tasks), chunk_keys), "lm-read", compression="zstd")
     words = written(prepared.where("word is not null").groupBy("word").agg(F.sum("n").alias("c")), "lm-words")
     n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     whole = float(n + 0.5 * (v + 1))
@@ -329,7 +331,7 @@ def scored(docs: DataFrame, min_count: int = MIN_COUNT, word_share: float = WORD
     common = spark.sparkContext.broadcast({bytes(r[0]): r[1] for r in words.where(often).collect()})
 
     uses = prepared.where("key is not null")
-    found = probabilities(written(uses.groupBy("key").agg(F.sum("n").alias("n")), "lm-keys"), min_count)
+    found = probabilities(written(uses.groupBy("key").agg(F.sum("n").alias("n")), "lm-keys", compression="zstd"), min_count)
     looked_up = uses.select("chunk", "key").join(found.select("key", F.log10("p").alias("log")).hint("shuffle_hash"), "key")
     tables = looked_up.select("chunk", "key", "log").mapInArrow(_packed, PACKED)
     texts = prepared.where("stream is not null").select("chunk", "doc_id", "row", "held_out", "stream")
