@@ -53,7 +53,8 @@ MARK = b"\n"  # start and end; no word contains it
 PAD = 0xFF  # before the start; no byte of UTF-8
 SYMBOLS = 256
 CHUNK_KEYS, TASK_BYTES = 1 << 22, 1 << 27
-_FOLD, _FLUSH, _ROWS, _SENT = 1 << 22, 1_000_000, 1 << 20, 1 << 16
+_FOLD, _FLUSH, _ROWS, _SENT, _BLOCK = 1 << 22, 1_000_000, 1 << 20, 1 << 16, 1 << 20
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _words(text: str | None) -> list[bytes]:
@@ -303,18 +304,46 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class _Table:
-    """The log10 probabilities of a chunk's keys."""
+    """The log10 probabilities of a chunk's keys, in a hash table with linear probing."""
 
     def __init__(self, keys: list[bytes], logs: list[bytes]) -> None:
         key, log = np.concatenate([_unpack(k) for k in keys]), np.frombuffer(b"".join(logs), np.float32)
-        order = np.argsort(key)
-        self.keys, self.logs = key[order], log[order].astype(np.float64)
-
-    def score(self, stream: bytes) -> float:
-        symbols, total = np.frombuffer(stream, np.uint8), 0.0
-        for at in range(0, len(symbols) - DEPTH, _FOLD):
-            keys = _keys(symbols[at:at + _FOLD + DEPTH])
-            total += float(self.logs[np.searchsorted(self.keys, keys[_predicted(keys)])].sum())
+        bits = max(4, (2 * len(key)).bit_length())
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.logs = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.float32)
+        slot = self._slots(key)
+        while len(key):
+            free = self.keys[slot] < 0
+            self.keys[slot[free]] = key[free]
+            placed = self.keys[slot] == key
+            self.logs[slot[placed]] = log[placed]
+            left = ~placed
+            key, log, slot = key[left], log[left], (slot[left] + 1) & self.last
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * _ODD) >> self.shift).view(np.int64)
+
+    def found(self, keys: np.ndarray) -> np.ndarray:
+        slot = self._slots(keys)
+        missed = np.flatnonzero(self.keys[slot] != keys)
+        while len(missed):
+            if (self.keys[slot[missed]] < 0).any():
+                raise KeyError("a text holds a key that its chunk lacks")
+            slot[missed] = (slot[missed] + 1) & self.last
+            missed = missed[self.keys[slot[missed]] != keys[missed]]
+        return self.logs[slot]
+
+    def scores(self, streams: list[bytes]) -> np.ndarray:
+        """The sum over each stream; blocks bound what a long text takes."""
+        symbols = np.frombuffer(b"".join(streams), np.uint8)
+        starts = np.maximum(np.cumsum([0, *map(len, streams[:-1])]) - DEPTH, 0)
+        total = np.zeros(len(streams))
+        for at in range(0, len(symbols) - DEPTH, _BLOCK):
+            keys = _keys(symbols[at:at + _BLOCK + DEPTH])
+            counts, logs = _predicted(keys), np.zeros(len(keys))
+            logs[counts] = self.found(keys[counts])
+            first, last = np.searchsorted(starts, at, "right") - 1, np.searchsorted(starts, at + len(keys))
+            total[first:last] += np.add.reduceat(logs, np.maximum(starts[first:last] - at, 0))
         return total
 
 
@@ -339,13 +368,36 @@ def scored(docs: DataFrame, min_count: int = MIN_COUNT, word_share: float = WORD
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         logs = {w: float(np.log10((c + 0.5) / whole)) for w, c in common.value.items()}
+        long = pa.int64()
+        kinds = [long, long, pa.bool_(), long, long, pa.float64(), pa.float64(), pa.map_(pa.binary(), long)]
+        names = [f.split()[0] for f in result.split(", ")]
+
+        def texts_of(chunk_texts: list[tuple], lm: _Table) -> pa.RecordBatch:
+            rows = []
+            for (doc_id, row, held, stream), value in zip(chunk_texts, lm.scores([t[3] for t in chunk_texts])):
+                words = stream[DEPTH + 1:-1].split()
+                counted = Counter(words)
+                counted[MARK] += 1
+                base, rare = 0.0, {}
+                for word, times in counted.items():
+                    log = logs.get(word)
+                    if log is None:
+                        rare[word] = times
+                    else:
+                        base += log * times
+                rows.append((doc_id, row, held, len(words) + 1, len(words) + 1 - sum(rare.values()), base, float(value), list(rare.items())))
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
         current, keys, values, lm = None, [], [], None
         for batch in batches:
             columns = {name: batch.column(name) for name in batch.schema.names}
-            out = [[] for _ in range(8)]
+            held, size = [], 0
             for i in range(batch.num_rows):
                 stream = columns["stream"][i].as_py()
                 if stream is None:
+                    if held:
+                        yield texts_of(held, lm)
+                        held, size = [], 0
                     if columns["chunk"][i].as_py() != current:
                         current, keys, values = columns["chunk"][i].as_py(), [], []
                     keys.append(columns["keys"][i].as_py())
@@ -355,19 +407,13 @@ def scored(docs: DataFrame, min_count: int = MIN_COUNT, word_share: float = WORD
                 if lm is None:
                     lm = _Table(keys, values)
                     keys, values = [], []
-                words = stream[DEPTH + 1:-1].split()
-                counted = Counter(words)
-                counted[MARK] += 1
-                rare = {w: k for w, k in counted.items() if w not in logs}
-                for to, value in zip(out, (
-                    columns["doc_id"][i].as_py(), columns["row"][i].as_py(), columns["held_out"][i].as_py(), len(words) + 1,
-                    len(words) + 1 - sum(rare.values()), sum(logs[w] * k for w, k in counted.items() if w in logs),
-                    lm.score(stream), list(rare.items()),
-                )):
-                    to.append(value)
-            long = pa.int64()
-            kinds = [long, long, pa.bool_(), long, long, pa.float64(), pa.float64(), pa.map_(pa.binary(), long)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], [f.split()[0] for f in result.split(", ")])
+                held.append((columns["doc_id"][i].as_py(), columns["row"][i].as_py(), columns["held_out"][i].as_py(), stream))
+                size += len(stream)
+                if size > _BLOCK:
+                    yield texts_of(held, lm)
+                    held, size = [], 0
+            if held:
+                yield texts_of(held, lm)
 
     # of a chunk, its keys come before its texts
     met = tables.unionByName(texts, allowMissingColumns=True).repartition("chunk").sortWithinPartitions(
