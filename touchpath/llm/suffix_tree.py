@@ -16,13 +16,17 @@ driver holds:
 1. One pass over the texts makes chunks of at most ``CHUNK_KEYS`` distinct (context, symbol)
    keys (or one text), with each key once and its training count, and keeps the texts' symbols.
    Tasks of less than ``TASK_BYTES`` of text are joined as far as all cores stay busy, since
-   fewer chunks repeat fewer keys.
-2. Keys are summed over chunks; held-out ones come with count 0. Their probabilities are found
-   two symbols of context at a time: keys of one context two symbols shorter are in one group,
-   of at most 256 ** 3 keys by construction, together with the probabilities after that context.
-3. Each chunk's keys look up their probability by a join, are packed by chunk, and meet the
-   symbols of the chunk's texts. Logarithms travel there with 24 bits, which leaves a score
-   its first seven digits.
+   fewer chunks repeat fewer keys. A chunk's keys are dealt to buckets by their context without
+   its ``STEP`` earliest symbols; one row packs those of a chunk and bucket. There is a bucket
+   for each ``BUCKET_BYTES`` of text, so it holds at most that many keys, or those of one
+   context two symbols shorter, 256 ** 3 by construction.
+2. Each bucket sums its keys over chunks; held-out ones come with count 0. Probabilities are
+   found two symbols of context at a time. Those of shorter contexts are rows: keys of one context
+   two symbols shorter are in one group, together with the probabilities after that context.
+   Those of the longest contexts, the bulk, are found bucket by bucket.
+3. Each bucket hands every chunk the probabilities of its keys, which meet the symbols of the
+   chunk's texts. Logarithms travel there with 24 bits, which leaves a score its first seven
+   digits.
 
 Word counts of the baseline are looked up like token counts: words with at least
 ``WORD_SHARE`` of all occurrences in the task, all others by a join.
@@ -52,7 +56,7 @@ FOLDS, HELD_FOLD = 5, 1
 MARK = b"\n"  # start and end; no word contains it
 PAD = 0xFF  # before the start; no byte of UTF-8
 SYMBOLS = 256
-CHUNK_KEYS, TASK_BYTES = 1 << 22, 1 << 27
+CHUNK_KEYS, TASK_BYTES, BUCKET_BYTES = 1 << 22, 1 << 27, 1 << 24
 _FOLD, _FLUSH, _ROWS, _SENT, _BLOCK = 1 << 22, 1_000_000, 1 << 20, 1 << 16, 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -120,11 +124,40 @@ def _firsts(values: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))) if len(values) else np.zeros(0, int)
 
 
+def _pack(values: np.ndarray) -> bytes:
+    """All first bytes, all second ones and so on, compressed."""
+    return zstandard.compress(values.view(np.uint8).reshape(len(values), -1).T.tobytes(), 1)
+
+
+def _unpack(packed: bytes, kind: type) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys by their differences."""
+    return _pack(np.diff(keys, prepend=0))
+
+
+def _unpack_keys(packed: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(packed, np.int64))
+
+
+def _dealt(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each bucket and where its keys are; keys of one context of DEPTH - STEP symbols share one."""
+    context = (keys >> (8 * (STEP + 1))).view(np.uint64)
+    bucket = ((context * _ODD) >> np.uint64(32)) % np.uint64(buckets)
+    order = np.argsort(bucket, kind="stable")
+    first = _firsts(bucket[order])
+    for a, b in zip(first, [*first[1:], len(keys)]):
+        yield int(bucket[order[a]]), order[a:b]
+
+
 def _fold() -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS))
 
 
-READ = "doc_id long, held_out boolean, row long, chunk long, stream binary, word binary, key long, n long"
+READ = "doc_id long, held_out boolean, row long, chunk long, stream binary, word binary, n long, bucket long, keys binary, counts binary"
 _ARROW = {"long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary(), "double": pa.float64()}
 
 
@@ -140,8 +173,8 @@ def _batch(schema: str, size: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([column(name, _ARROW[kind]) for name, kind in fields], [name for name, _ in fields])
 
 
-def read(docs: DataFrame, chunk_keys: int = CHUNK_KEYS) -> DataFrame:
-    """One table of three kinds of rows: texts as symbols (``stream``), training words, keys of chunks.
+def read(docs: DataFrame, buckets: int, chunk_keys: int = CHUNK_KEYS) -> DataFrame:
+    """One table of three kinds of rows: texts as symbols (``stream``), training words, keys by chunk and bucket.
 
     A chunk is named by task and number; the table has to be written before it is used twice.
     """
@@ -151,9 +184,10 @@ def read(docs: DataFrame, chunk_keys: int = CHUNK_KEYS) -> DataFrame:
 
         def keys() -> Iterator[pa.RecordBatch]:
             counts.fold()
-            for a in range(0, len(counts.keys), _SENT):
-                key, n = counts.keys[a:a + _SENT], counts.n[a:a + _SENT]
-                yield _batch(READ, len(key), chunk=np.full(len(key), chunk), key=key, n=n)
+            rows = [(bucket, _pack_keys(counts.keys[at]), _pack(counts.n[at])) for bucket, at in _dealt(counts.keys, buckets)]
+            for a in range(0, len(rows), _SENT):
+                bucket, key, n = zip(*rows[a:a + _SENT])
+                yield _batch(READ, len(key), chunk=[chunk] * len(key), bucket=bucket, keys=key, counts=n)
 
         def counted_words() -> Iterator[pa.RecordBatch]:
             found = list(words.items())
@@ -187,14 +221,11 @@ def read(docs: DataFrame, chunk_keys: int = CHUNK_KEYS) -> DataFrame:
     ).mapInArrow(chunks, READ)
 
 
-def _deepened(keys: np.ndarray, n: np.ndarray, q: np.ndarray, p: np.ndarray, depth: int, min_count: int):
+def _deepened(keys: np.ndarray, n: np.ndarray, above: np.ndarray, q: np.ndarray, p: np.ndarray, depth: int, min_count: int):
     """Sorted keys of ``depth`` with their raw and smoothed probabilities.
 
-    Rows with n = -1 are those STEP symbols shorter, with q and p.
+    ``above`` are the sorted keys STEP symbols shorter, with raw ``q`` and smoothed ``p``.
     """
-    shorter = n < 0
-    above, q, p = keys[shorter], q[shorter], p[shorter]
-    keys, n = keys[~shorter], n[~shorter]
     if not len(keys):
         return keys, np.zeros(0), np.zeros(0)
     for d in range(depth - STEP + 1, depth + 1):
@@ -216,22 +247,21 @@ def _deepened(keys: np.ndarray, n: np.ndarray, q: np.ndarray, p: np.ndarray, dep
     return above, q, p
 
 
-def probabilities(keys: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
-    """(key, p) for (key, n): each key's symbol after its longest context that is a state.
+def probabilities(keys: DataFrame, min_count: int = MIN_COUNT, longest: int = DEPTH) -> DataFrame:
+    """(key, q, p) for (key, n): p of each key's symbol after its longest context that is a state.
 
-    Keys with n = 0 get a probability but take no part in the model.
+    q is the probability as counted. Keys have contexts of ``longest`` symbols; those with n = 0
+    get a probability but take no part in the model.
     """
     symbol = F.col("key").bitwiseAND(F.lit(255))
     total = keys.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     level = keys.groupBy(symbol.alias("key")).agg(F.sum("n").alias("n")).select(
         "key", (F.col("n") / F.lit(float(max(total, 1)))).alias("q"),
         ((F.col("n") + 0.5) / F.lit(total + 0.5 * SYMBOLS)).alias("p"))
-    for depth in range(STEP, DEPTH + 1, STEP):
-        longer = keys if depth == DEPTH else keys.groupBy(
+    for depth in range(STEP, longest + 1, STEP):
+        longer = keys if depth == longest else keys.groupBy(
             F.col("key").bitwiseAND(F.lit(_mask(depth) | 255)).alias("key")).agg(F.sum("n").alias("n"))
-        level = _longer(longer, level, depth, min_count)
-        # only longer contexts need the raw q
-        level = written(level.drop("q") if depth == DEPTH else level, "tree-level", compression="zstd")
+        level = written(_longer(longer, level, depth, min_count), "tree-level", compression="zstd")
     return level
 
 
@@ -243,7 +273,9 @@ def _longer(keys: DataFrame, shorter: DataFrame, depth: int, min_count: int) ->
         held, size = [], 0
 
         def found(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            key, q, p = _deepened(*rows, depth, min_count)
+            key, n, q, p = rows
+            above = n < 0
+            key, q, p = _deepened(key[~above], n[~above], key[above], q[above], p[above], depth, min_count)
             for a in range(0, len(key), _SENT):
                 b = a + _SENT
                 yield _batch(result, len(key[a:b]), key=key[a:b], q=q[a:b], p=p[a:b])
@@ -266,48 +298,91 @@ def _longer(keys: DataFrame, shorter: DataFrame, depth: int, min_count: int) ->
     return rows.repartition(F.col("key").bitwiseAND(F.lit(group))).sortWithinPartitions("key").mapInArrow(deepen, result)
 
 
-PACKED = "chunk long, keys binary, logs binary"
+def _rows_of_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
+    """The rows of one bucket after the other, of batches sorted by bucket."""
+    held = []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if held and row["bucket"] != held[0]["bucket"]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
 
 
-def _pack(keys: np.ndarray) -> bytes:
-    """Ascending keys by their differences, all first bytes, all second ones and so on, compressed."""
-    steps = np.diff(keys, prepend=0).view(np.uint8).reshape(-1, 8)
-    return zstandard.compress(steps.T.tobytes(), 1)
+def _summed(chunks: list[np.ndarray], rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of several chunks, ascending, and their counts."""
+    keys, n = np.concatenate(chunks), np.concatenate([_unpack(r["counts"], np.int64) for r in rows])
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    first = _firsts(keys)
+    return keys[first], np.add.reduceat(n, first)
 
 
-def _unpack(packed: bytes) -> np.ndarray:
-    steps = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(8, -1)
-    return np.cumsum(np.ascontiguousarray(steps.T).view(np.int64).ravel())
+def _shorter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, n) of contexts without their STEP earliest symbols; all of such a context is in one bucket."""
+    for rows in _rows_of_buckets(batches):
+        keys, n = _summed([_unpack_keys(r["keys"]) for r in rows], rows)
+        short, of = np.unique(keys & (_mask(DEPTH - STEP) | 255), return_inverse=True)
+        n = np.bincount(of, n).astype(np.int64)
+        for a in range(0, len(short), _SENT):
+            yield _batch("key long, n long", len(short[a:a + _SENT]), key=short[a:a + _SENT], n=n[a:a + _SENT])
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(chunk, key, log) rows as one row per chunk and million of rows."""
+LEVEL = "bucket long, keys binary, q binary, p binary"
 
-    def pack(held: list[list[np.ndarray]]) -> pa.RecordBatch:
-        chunk, key, log = (np.concatenate(c) for c in zip(*held))
-        order = np.lexsort((key, chunk))
-        chunk, key, log = chunk[order], key[order], log[order].astype(np.float32)
-        first = _firsts(chunk)
-        ends = [*first[1:], len(chunk)]
-        return _batch(PACKED, len(first), chunk=chunk[first], keys=[_pack(key[a:b]) for a, b in zip(first, ends)],
-                      logs=[log[a:b].tobytes() for a, b in zip(first, ends)])
 
-    held, size = [], 0
-    for batch in batches:
-        held.append([c.to_numpy() for c in batch.columns])
-        size += batch.num_rows
-        if size > _ROWS:
-            yield pack(held)
-            held, size = [], 0
-    if size:
-        yield pack(held)
+def _level_by_bucket(level: DataFrame, buckets: int) -> DataFrame:
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def packed() -> pa.RecordBatch:
+            key, q, p = (np.concatenate(c) for c in zip(*held))
+            order = np.argsort(key)
+            key, q, p = key[order], q[order], p[order]
+            bucket, keys, qs, ps = zip(*[(b, _pack_keys(key[at]), _pack(q[at]), _pack(p[at])) for b, at in _dealt(key, buckets)])
+            return _batch(LEVEL, len(keys), bucket=bucket, keys=keys, q=qs, p=ps)
+
+        for batch in batches:
+            held.append([c.to_numpy() for c in batch.columns])
+            size += batch.num_rows
+            if size > _ROWS:
+                yield packed()
+                held, size = [], 0
+        if size:
+            yield packed()
+
+    return level.select("key", "q", "p").mapInArrow(deal, LEVEL)
+
+
+TABLES = "chunk long, keys binary, logs binary"
+
+
+def tables(keys: DataFrame, level: DataFrame, buckets: int, tasks: int, min_count: int = MIN_COUNT) -> DataFrame:
+    """For each chunk and bucket of ``keys`` the logarithms of its probabilities; ``level`` holds those of shorter contexts."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _rows_of_buckets(batches):
+            above, rows = [r for r in rows if r["counts"] is None], [r for r in rows if r["counts"] is not None]
+            short = np.concatenate([_unpack_keys(r["keys"]) for r in above])
+            q, p = (np.concatenate([_unpack(r[name], np.float64) for r in above]) for name in "qp")
+            order = np.argsort(short)
+            chunks = [_unpack_keys(r["keys"]) for r in rows]
+            key, _, p = _deepened(*_summed(chunks, rows), short[order], q[order], p[order], DEPTH, min_count)
+            log = np.log10(p).astype(np.float32)
+            logs = [_pack(log[np.searchsorted(key, c)]) for c in chunks]
+            yield _batch(TABLES, len(rows), chunk=[r["chunk"] for r in rows], keys=[r["keys"] for r in rows], logs=logs)
+
+    both = keys.unionByName(_level_by_bucket(level, buckets), allowMissingColumns=True)
+    return both.repartition(tasks, "bucket").sortWithinPartitions("bucket").mapInArrow(find, TABLES)
 
 
 class _Table:
     """The log10 probabilities of a chunk's keys, in a hash table with linear probing."""
 
     def __init__(self, keys: list[bytes], logs: list[bytes]) -> None:
-        key, log = np.concatenate([_unpack(k) for k in keys]), np.frombuffer(b"".join(logs), np.float32)
+        key, log = np.concatenate([_unpack_keys(k) for k in keys]), np.concatenate([_unpack(v, np.float32) for v in logs])
         bits = max(4, (2 * len(key)).bit_length())
         self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
         self.keys, self.logs = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.float32)
@@ -347,22 +422,25 @@ class _Table:
         return total
 
 
-def scored(docs: DataFrame, min_count: int = MIN_COUNT, word_share: float = WORD_SHARE, chunk_keys: int = CHUNK_KEYS) -> DataFrame:
+def scored(docs: DataFrame, min_count: int = MIN_COUNT, word_share: float = WORD_SHARE, chunk_keys: int = CHUNK_KEYS,
+           bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, one row per input row."""
     spark = docs.sparkSession
     size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     tasks = max(spark.sparkContext.defaultParallelism, math.ceil(size / TASK_BYTES))
-    prepared = written(read(docs.coalesce(tasks), chunk_keys), "lm-read", compression="zstd")
+    buckets = max(4 * spark.sparkContext.defaultParallelism, math.ceil(size / bucket_bytes))
+    prepared = written(read(docs.coalesce(tasks), buckets, chunk_keys), "lm-read", compression="zstd")
     words = written(prepared.where("word is not null").groupBy("word").agg(F.sum("n").alias("c")), "lm-words")
     n, v = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     whole = float(n + 0.5 * (v + 1))
     often = F.col("c") >= word_share * n
     common = spark.sparkContext.broadcast({bytes(r[0]): r[1] for r in words.where(often).collect()})
 
-    uses = prepared.where("key is not null")
-    found = probabilities(written(uses.groupBy("key").agg(F.sum("n").alias("n")), "lm-keys", compression="zstd"), min_count)
-    looked_up = uses.select("chunk", "key").join(found.select("key", F.log10("p").alias("log")).hint("shuffle_hash"), "key")
-    tables = looked_up.select("chunk", "key", "log").mapInArrow(_packed, PACKED)
+    keys = prepared.where("keys is not null").select("bucket", "chunk", "keys", "counts")
+    dealt = math.ceil(buckets / 4)
+    short = keys.repartition(dealt, "bucket").sortWithinPartitions("bucket").select("bucket", "keys", "counts").mapInArrow(_shorter, "key long, n long")
+    level = probabilities(written(short, "lm-keys", compression="zstd"), min_count, DEPTH - STEP)
+    found = tables(keys, level, buckets, dealt, min_count)
     texts = prepared.where("stream is not null").select("chunk", "doc_id", "row", "held_out", "stream")
     result = "doc_id long, row long, held_out boolean, n_tokens long, known long, base double, score double, rare map<binary,long>"
 
@@ -416,7 +494,7 @@ def scored(docs: DataFrame, min_count: int = MIN_COUNT, word_share: float = WORD
                 yield texts_of(held, lm)
 
     # of a chunk, its keys come before its texts
-    met = tables.unionByName(texts, allowMissingColumns=True).repartition("chunk").sortWithinPartitions(
+    met = found.unionByName(texts, allowMissingColumns=True).repartition("chunk").sortWithinPartitions(
         "chunk", F.col("stream").isNotNull())
     rows = written(met.mapInArrow(score, result), "lm-rows")
     log = F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(whole))
