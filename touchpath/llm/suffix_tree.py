@@ -57,7 +57,7 @@ MARK = b"\n"  # start and end; no word contains it
 PAD = 0xFF  # before the start; no byte of UTF-8
 SYMBOLS = 256
 CHUNK_KEYS, TASK_BYTES, BUCKET_BYTES = 1 << 22, 1 << 27, 1 << 24
-_FOLD, _FLUSH, _ROWS, _SENT, _BLOCK = 1 << 22, 1_000_000, 1 << 20, 1 << 16, 1 << 20
+_FOLD, _FLUSH, _ROWS, _SENT, _BLOCK = 1 << 21, 1 << 19, 1 << 20, 1 << 16, 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -74,7 +74,9 @@ def _keys(stream: np.ndarray) -> np.ndarray:
     n = len(stream) - DEPTH
     keys = stream[DEPTH:].astype(np.int64)
     for d in range(1, DEPTH + 1):
-        keys |= stream[DEPTH - d:DEPTH - d + n].astype(np.int64) << (8 * (DEPTH + 1 - d))
+        symbol = stream[DEPTH - d:DEPTH - d + n].astype(np.int64)
+        symbol <<= 8 * (DEPTH + 1 - d)
+        keys |= symbol
     return keys
 
 
@@ -112,11 +114,12 @@ class _Counts:
         self.size = 0
 
     def _merge(self, new: np.ndarray, n: np.ndarray) -> None:
-        keys, n = np.concatenate((self.keys, new)), np.concatenate((self.n, n))
-        order = np.argsort(keys, kind="stable")
-        keys, n = keys[order], n[order]
-        first = _firsts(keys)
-        self.keys, self.n = keys[first], np.add.reduceat(n, first) if len(first) else n
+        at = np.searchsorted(self.keys, new)
+        known = np.zeros(len(new), bool)
+        inside = at < len(self.keys)
+        known[inside] = self.keys[at[inside]] == new[inside]
+        self.n[at[known]] += n[known]
+        self.keys, self.n = np.insert(self.keys, at[~known], new[~known]), np.insert(self.n, at[~known], n[~known])
 
 
 def _firsts(values: np.ndarray) -> np.ndarray:
@@ -146,7 +149,9 @@ def _unpack_keys(packed: bytes) -> np.ndarray:
 def _dealt(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
     """Each bucket and where its keys are; keys of one context of DEPTH - STEP symbols share one."""
     context = (keys >> (8 * (STEP + 1))).view(np.uint64)
-    bucket = ((context * _ODD) >> np.uint64(32)) % np.uint64(buckets)
+    context *= _ODD
+    context >>= np.uint64(32)
+    bucket = (context % np.uint64(buckets)).astype(np.uint32)
     order = np.argsort(bucket, kind="stable")
     first = _firsts(bucket[order])
     for a, b in zip(first, [*first[1:], len(keys)]):
@@ -196,7 +201,12 @@ def read(docs: DataFrame, buckets: int, chunk_keys: int = CHUNK_KEYS) -> DataFra
                 yield _batch(READ, len(word), word=word, n=n)
 
         for batch in batches:
-            streams, of = [], []
+            streams, of, sent, size = [], [], 0, 0
+
+            def texts() -> pa.RecordBatch:
+                doc_id, _, held, row = batch.slice(sent, len(streams)).columns
+                return _batch(READ, len(streams), doc_id=doc_id, held_out=held, row=row, chunk=of, stream=streams)
+
             for text, held in zip(batch.column(1), batch.column(2)):
                 found = _words(text.as_py())
                 if not held.as_py():
@@ -208,10 +218,15 @@ def read(docs: DataFrame, buckets: int, chunk_keys: int = CHUNK_KEYS) -> DataFra
                 if len(counts.keys) > chunk_keys:
                     yield from keys()
                     chunk, counts = chunk + 1, _Counts()
-            yield _batch(READ, len(streams), doc_id=batch.column(0), held_out=batch.column(2), row=batch.column(3), chunk=of, stream=streams)
-            if len(words) > _FLUSH:
-                yield from counted_words()
-                words.clear()
+                size += len(streams[-1])
+                if size > _BLOCK:
+                    yield texts()
+                    streams, of, sent, size = [], [], sent + len(streams), 0
+                if len(words) > _FLUSH:
+                    yield from counted_words()
+                    words.clear()
+            if streams:
+                yield texts()
         yield from counted_words()
         yield from keys()
 
