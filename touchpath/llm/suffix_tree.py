@@ -162,8 +162,9 @@ def _fold() -> Column:
     return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS))
 
 
-READ = "doc_id long, held_out boolean, row long, chunk long, stream binary, word binary, n long, bucket long, keys binary, counts binary"
-_ARROW = {"long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary(), "double": pa.float64()}
+READ = "doc_id array<long>, held_out array<boolean>, row array<long>, length array<long>, chunk long, streams binary, word binary, n long, bucket long, keys binary, counts binary"
+_ARROW = {"long": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary(), "double": pa.float64(),
+          "array<long>": pa.list_(pa.int64()), "array<boolean>": pa.list_(pa.bool_())}
 
 
 def _batch(schema: str, size: int, **columns) -> pa.RecordBatch:
@@ -179,7 +180,7 @@ def _batch(schema: str, size: int, **columns) -> pa.RecordBatch:
 
 
 def read(docs: DataFrame, buckets: int, chunk_keys: int = CHUNK_KEYS) -> DataFrame:
-    """One table of three kinds of rows: texts as symbols (``stream``), training words, keys by chunk and bucket.
+    """One table of three kinds of rows: blocks of texts as symbols (``streams``), training words, keys by chunk and bucket.
 
     A chunk is named by task and number; the table has to be written before it is used twice.
     """
@@ -201,31 +202,33 @@ def read(docs: DataFrame, buckets: int, chunk_keys: int = CHUNK_KEYS) -> DataFra
                 yield _batch(READ, len(word), word=word, n=n)
 
         for batch in batches:
-            streams, of, sent, size = [], [], 0, 0
+            block, size = [], 0
 
             def texts() -> pa.RecordBatch:
-                doc_id, _, held, row = batch.slice(sent, len(streams)).columns
-                return _batch(READ, len(streams), doc_id=doc_id, held_out=held, row=row, chunk=of, stream=streams)
+                doc_id, held, row, streams = zip(*block)
+                return _batch(READ, 1, doc_id=[doc_id], held_out=[held], row=[row], length=[[len(x) for x in streams]],
+                              chunk=[chunk], streams=[zstandard.compress(b"".join(streams), 1)])
 
-            for text, held in zip(batch.column(1), batch.column(2)):
-                found = _words(text.as_py())
-                if not held.as_py():
+            for doc_id, text, held, row in zip(*batch.columns):
+                found, held = _words(text.as_py()), held.as_py()
+                if not held:
                     words.update(found)
                     words[MARK] += 1
-                streams.append(_stream(found))
-                of.append(chunk)
-                counts.add(streams[-1], not held.as_py())
-                if len(counts.keys) > chunk_keys:
+                stream = _stream(found)
+                block.append((doc_id.as_py(), held, row.as_py(), stream))
+                size += len(stream)
+                counts.add(stream, not held)
+                full = len(counts.keys) > chunk_keys
+                if full or size > _BLOCK:
+                    yield texts()
+                    block, size = [], 0
+                if full:
                     yield from keys()
                     chunk, counts = chunk + 1, _Counts()
-                size += len(streams[-1])
-                if size > _BLOCK:
-                    yield texts()
-                    streams, of, sent, size = [], [], sent + len(streams), 0
                 if len(words) > _FLUSH:
                     yield from counted_words()
                     words.clear()
-            if streams:
+            if block:
                 yield texts()
         yield from counted_words()
         yield from keys()
@@ -397,10 +400,14 @@ class _Table:
     """The log10 probabilities of a chunk's keys, in a hash table with linear probing."""
 
     def __init__(self, keys: list[bytes], logs: list[bytes]) -> None:
-        key, log = np.concatenate([_unpack_keys(k) for k in keys]), np.concatenate([_unpack(v, np.float32) for v in logs])
-        bits = max(4, (2 * len(key)).bit_length())
+        size = sum(zstandard.frame_content_size(k) for k in keys) // 8
+        bits = max(4, (2 * size).bit_length())
         self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
         self.keys, self.logs = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.float32)
+        for key, log in zip(keys, logs):
+            self._put(_unpack_keys(key), _unpack(log, np.float32))
+
+    def _put(self, key: np.ndarray, log: np.ndarray) -> None:
         slot = self._slots(key)
         while len(key):
             free = self.keys[slot] < 0
@@ -423,11 +430,11 @@ class _Table:
             missed = missed[self.keys[slot[missed]] != keys[missed]]
         return self.logs[slot]
 
-    def scores(self, streams: list[bytes]) -> np.ndarray:
+    def scores(self, streams: bytes, length: list[int]) -> np.ndarray:
         """The sum over each stream; blocks bound what a long text takes."""
-        symbols = np.frombuffer(b"".join(streams), np.uint8)
-        starts = np.maximum(np.cumsum([0, *map(len, streams[:-1])]) - DEPTH, 0)
-        total = np.zeros(len(streams))
+        symbols = np.frombuffer(streams, np.uint8)
+        starts = np.maximum(np.cumsum([0, *length[:-1]]) - DEPTH, 0)
+        total = np.zeros(len(length))
         for at in range(0, len(symbols) - DEPTH, _BLOCK):
             keys = _keys(symbols[at:at + _BLOCK + DEPTH])
             counts, logs = _predicted(keys), np.zeros(len(keys))
@@ -456,7 +463,7 @@ def scored(docs: DataFrame, min_count: int = MIN_COUNT, word_share: float = WORD
     short = keys.repartition(dealt, "bucket").sortWithinPartitions("bucket").select("bucket", "keys", "counts").mapInArrow(_shorter, "key long, n long")
     level = probabilities(written(short, "lm-keys", compression="zstd"), min_count, DEPTH - STEP)
     found = tables(keys, level, buckets, dealt, min_count)
-    texts = prepared.where("stream is not null").select("chunk", "doc_id", "row", "held_out", "stream")
+    texts = prepared.where("streams is not null").select("chunk", "doc_id", "row", "held_out", "length", "streams")
     result = "doc_id long, row long, held_out boolean, n_tokens long, known long, base double, score double, rare map<binary,long>"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -465,10 +472,11 @@ def scored(docs: DataFrame, min_count: int = MIN_COUNT, word_share: float = WORD
         kinds = [long, long, pa.bool_(), long, long, pa.float64(), pa.float64(), pa.map_(pa.binary(), long)]
         names = [f.split()[0] for f in result.split(", ")]
 
-        def texts_of(chunk_texts: list[tuple], lm: _Table) -> pa.RecordBatch:
-            rows = []
-            for (doc_id, row, held, stream), value in zip(chunk_texts, lm.scores([t[3] for t in chunk_texts])):
-                words = stream[DEPTH + 1:-1].split()
+        def texts_of(doc_ids: list, row_ids: list, held_out: list, length: list, streams: bytes, lm: _Table) -> pa.RecordBatch:
+            rows, at = [], 0
+            for doc_id, row, held, size, value in zip(doc_ids, row_ids, held_out, length, lm.scores(streams, length)):
+                words = streams[at + DEPTH + 1:at + size - 1].split()
+                at += size
                 counted = Counter(words)
                 counted[MARK] += 1
                 base, rare = 0.0, {}
@@ -484,13 +492,9 @@ def scored(docs: DataFrame, min_count: int = MIN_COUNT, word_share: float = WORD
         current, keys, values, lm = None, [], [], None
         for batch in batches:
             columns = {name: batch.column(name) for name in batch.schema.names}
-            held, size = [], 0
             for i in range(batch.num_rows):
-                stream = columns["stream"][i].as_py()
-                if stream is None:
-                    if held:
-                        yield texts_of(held, lm)
-                        held, size = [], 0
+                streams = columns["streams"][i].as_py()
+                if streams is None:
                     if columns["chunk"][i].as_py() != current:
                         current, keys, values = columns["chunk"][i].as_py(), [], []
                     keys.append(columns["keys"][i].as_py())
@@ -500,17 +504,12 @@ def scored(docs: DataFrame, min_count: int = MIN_COUNT, word_share: float = WORD
                 if lm is None:
                     lm = _Table(keys, values)
                     keys, values = [], []
-                held.append((columns["doc_id"][i].as_py(), columns["row"][i].as_py(), columns["held_out"][i].as_py(), stream))
-                size += len(stream)
-                if size > _BLOCK:
-                    yield texts_of(held, lm)
-                    held, size = [], 0
-            if held:
-                yield texts_of(held, lm)
+                block = [columns[name][i].as_py() for name in ("doc_id", "row", "held_out", "length")]
+                yield texts_of(*block, zstandard.decompress(streams), lm)
 
     # of a chunk, its keys come before its texts
     met = found.unionByName(texts, allowMissingColumns=True).repartition("chunk").sortWithinPartitions(
-        "chunk", F.col("stream").isNotNull())
+        "chunk", F.col("streams").isNotNull())
     rows = written(met.mapInArrow(score, result), "lm-rows")
     log = F.log10((F.coalesce("c", F.lit(0)) + 0.5) / F.lit(whole))
     extra = rows.select("row", F.explode("rare").alias("word", "times")).join(words.where(~often), "word", "left").groupBy("row").agg(
