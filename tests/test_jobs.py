@@ -10,7 +10,8 @@ from checks.logs import DT, spark_lines
 from checks.oracle import ORACLE_SQL
 from touchpath import jobs
 from touchpath.functions.crypto import encrypt_column
-from touchpath.plans import app
+from touchpath.operators import quality
+from touchpath.plans import app, h5, pages
 from touchpath.sources import logs, tables
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -54,6 +55,30 @@ def test_job_writes_its_table(spark, files, tmp_path, job, inputs, table, name):
     check(stored, name)
 
 
+@pytest.mark.parametrize("job,name,layout,outcomes", [
+    (jobs.h5_views, "pv_log", logs.PAGE_VIEW, h5.rejects),
+    (jobs.h5_openings, "h5_event_log", logs.H5_EVENT, lambda rows: quality.count_outcomes(h5.check_events(rows))),
+    (jobs.news_section, "pv_log", logs.PAGE_VIEW, pages.news_rejects),
+    (jobs.news_daily, "pv_log", logs.PAGE_VIEW, pages.news_rejects),
+])
+def test_job_counts_the_outcome_of_every_row_once(spark, files, tmp_path, job, name, layout, outcomes):
+    path, found = str(files / name), []
+    job(spark, path, partial(tables.append_parquet, root=str(tmp_path)), dt=DT, rejects=lambda o, log: found.append(o))
+    expected = {(r.reason, r.n) for r in outcomes(logs.read_log(spark, path, layout)).collect()}
+    got = {(r.reason, r.n) for r in found[0].collect()}
+    assert len(found) == 1 and got == expected
+
+
+def test_hourly_job_counts_the_rows_of_its_hour_only(spark, files, tmp_path):
+    for hour in (3, 4):
+        (tmp_path / f"pv.{DT}.{hour}").write_bytes(b"".join(p.read_bytes() for p in (files / "pv_log").glob("part-*")))
+    found = []
+    jobs.news_hourly(spark, str(tmp_path), partial(tables.append_parquet, root=str(tmp_path / "out")), DT, 3,
+                     rejects=lambda o, log: found.append(o))
+    expected = pages.news_rejects(logs.read_log(spark, str(files / "pv_log"), logs.PAGE_VIEW))
+    assert {(r.reason, r.n) for r in found[0].collect()} == {(r.reason, r.n) for r in expected.collect()}
+
+
 def test_several_paths_are_one_input(spark, files):
     whole = logs.read_log(spark, str(files / "ad_log"), logs.AD_CLICK)
     twice = logs.read_log(spark, [str(files / "ad_log")] * 2, logs.AD_CLICK)

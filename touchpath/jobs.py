@@ -74,14 +74,19 @@ def h5_channels(spark: SparkSession, view_paths: Paths, event_paths: Paths, writ
 
 
 def h5_views(spark: SparkSession, paths: Paths, write: Write, dt: str | None = None,
-             site: Site = DEFAULT_SITE) -> None:
-    rows = logs.read_log(spark, paths, logs.PAGE_VIEW)
+             site: Site = DEFAULT_SITE, rejects: Rejects | None = None) -> None:
+    watch = _Watch(rejects, dt)
+    rows = watch(h5.check(logs.read_log(spark, paths, logs.PAGE_VIEW), site), "H5 page views")
     write(h5.view_report(rows, dt, site), "channel_view_stat_h5")
+    watch.report()
 
 
-def h5_openings(spark: SparkSession, paths: Paths, write: Write, dt: str | None = None) -> None:
-    rows = logs.read_log(spark, paths, logs.H5_EVENT)
+def h5_openings(spark: SparkSession, paths: Paths, write: Write, dt: str | None = None,
+                rejects: Rejects | None = None) -> None:
+    watch = _Watch(rejects, dt)
+    rows = watch(h5.check_events(logs.read_log(spark, paths, logs.H5_EVENT)), "H5 events")
     write(h5.opening_report(rows, dt), "channel_trade_stat_h5")
+    watch.report()
 
 
 def previous_hour(now: dt_.datetime | None = None) -> int:
@@ -89,14 +94,16 @@ def previous_hour(now: dt_.datetime | None = None) -> int:
 
 
 def news_hourly(spark: SparkSession, root: str, write: Write, dt: str,
-                hour: int | str | None = None) -> None:
+                hour: int | str | None = None, rejects: Rejects | None = None) -> None:
     """News pages of one hour (the previous one by default), from the files ``*<dt>.<hour>``."""
     hour = previous_hour() if hour in (None, "") else hour
     if not str(hour).isdigit():
         raise ValueError(f"hour must be a number, not {hour!r}")
     path = logs.hourly_glob(root, dt, int(hour))
-    rows = logs.read_log(spark, path, logs.PAGE_VIEW)
+    watch = _Watch(rejects, dt)
+    rows = watch(pages.check_news(logs.read_log(spark, path, logs.PAGE_VIEW)), "news page views")
     write(pages.news_report(rows, dt), news_table(hourly=True))
+    watch.report()
 
 
 def news_daily(spark: SparkSession, paths: Paths, write: Write, dt: str | None = None,
@@ -108,9 +115,11 @@ def news_daily(spark: SparkSession, paths: Paths, write: Write, dt: str | None =
 
 
 def news_section(spark: SparkSession, paths: Paths, write: Write, dt: str | None = None,
-                 hourly: bool = False) -> None:
-    rows = logs.read_log(spark, paths, logs.PAGE_VIEW)
+                 hourly: bool = False, rejects: Rejects | None = None) -> None:
+    watch = _Watch(rejects, dt)
+    rows = watch(pages.check_news(logs.read_log(spark, paths, logs.PAGE_VIEW)), "news page views")
     write(pages.news_total(rows, dt), news_table(hourly))
+    watch.report()
 
 
 def private_fund_pages(spark: SparkSession, paths: Paths, write: Write, dt: str | None = None,
