@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -298,6 +299,43 @@ def test_token_counts(docs, nothing, share):
     assert rows(token_counts.token_counts(nothing)) == []
 
 
+def pre_tokens_of(cutter, texts):
+    units, order, first, specials = cutter.units(pa.array(texts, pa.string()))
+    tokens, which, several = cutter.tokens(units)
+    tokens, end = tokens.to_pylist(), np.cumsum(several)
+    lists = [[tokens[k] for k in which[e - n:e]] for e, n in zip(end, several)]
+    return [[t for u in order[a:b] for t in lists[u]] for a, b in zip(first, first[1:])], specials.tolist()
+
+
+def test_pre_tokens_are_those_of_the_library():
+    cutter, rng = token_counts.PreTokenizer(token_counts.TOKENIZER), random.Random(3)
+    letters = "abst''9  \n\t\r.-éß×÷ª\x1c\x85\u00a0\u1680\u2003\u2028\u200b\u3000\u180e“…日Σ\u0301\x00\u00ad😀٣ȿɐ"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 25))) for _ in range(5000)]
+    got, specials = pre_tokens_of(cutter, texts)
+    assert not any(specials)
+    for text, tokens in zip(texts, got):
+        assert tokens == [text[a:b] for _, (a, b) in cutter.library.pre_tokenizer.pre_tokenize_str(text)], repr(text)
+    assert pre_tokens_of(cutter, ["<|endoftext|>a<|endoftext|>", "", " b"]) == ([["a"], [], [" b"]], [2, 0, 0])
+    assert pre_tokens_of(cutter, []) == ([], [])
+
+
+def test_usual_words_are_split_without_the_library():
+    cutter = token_counts.PreTokenizer(token_counts.TOKENIZER)
+    got, _ = pre_tokens_of(cutter, ["Grüße, él 12.5 (a-b)!\n\n  Une  fête\tou"])
+    assert got == [["Grüße", ",", " él", " 12", ".", "5", " (", "a", "-", "b", ")!", "\n\n ", " Une", " ", " fête", "\t", "ou"]]
+    assert not cutter.memo
+
+
+@pytest.mark.parametrize("piece", [1, 100])
+def test_token_counts_of_small_pieces(docs, monkeypatch, piece):
+    want = sorted((tuple(r.values()) for r in rows(token_counts.token_counts(docs))), key=repr)
+    column = pa.array([None, "", "one two", "three", "x" * 300, ""])
+    monkeypatch.setattr(token_counts, "PIECE", piece)
+    pieces = [p.to_pylist() for p in token_counts.in_pieces(column, piece)]
+    assert sum(pieces, []) == ["", "", "one two", "three", "x" * 300, ""] and len(pieces) > 1
+    assert sorted((tuple(r.values()) for r in rows(token_counts.token_counts(docs, share=1e-2))), key=repr) == want
+
+
 class BruteTree:
     """The suffix tree of `suffix_tree` in dictionaries."""
 
