@@ -151,6 +151,27 @@ def test_keyed_logins_do_not_depend_on_batches(spark, tmp_path):
     assert sorted(results[0], key=repr) == sorted(results[1], key=repr) == want
 
 
+def test_keyed_logins_are_summed_up_before_they_meet_the_state(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    def login(proid, ts, custno="0"):
+        fields = {0: str(ts), 1: proid, 2: "imei1", 3: "idfa1", 5: "1", 6: custno}
+        return "\u0001".join(fields.get(i, "") for i in range(logs.APP_LOGIN.arity))
+    for name, lines in (("1", [login("2001", 5000 + i % 7) for i in range(3000)] + [login("3002", 9000, "7")]),
+                        ("2", [login("3001", 8000), login("2001", 6000)] + [login("2002", 4000)] * 1000),
+                        ("3", [login("2001", 9000), login("3001", 7500)])):
+        (tmp_path / "in" / name).write_text("\n".join(lines))
+        rows = stream_log(spark, str(tmp_path / "in"), logs.APP_LOGIN, maxFilesPerTrigger="1")
+        updates = earliest_logins(rows)
+        plan = updates._jdf.queryExecution().analyzed().toString()
+        assert "Pandas" not in plan and "Python" not in plan
+        job = store_updates(updates, str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "progress"))
+        job.trigger(availableNow=True).start().awaitTermination()
+    table = login_table(spark, str(tmp_path / "out"))
+    times = [F.unix_millis(name) for name in ("chuxuguan_firsttime", "zhangji_firsttime")]
+    got = sorted(tuple(r) for r in table.select("deviceid", "custno", *times, "flag").collect())
+    assert got == [("idfa1", "0", 5000, 7500, 2), ("imei1", "0", 4000, None, 1), ("imei1", "7", None, 9000, 1)]
+
+
 def test_a_day_written_again_replaces_itself_only(spark, tmp_path):
     rows = spark.createDataFrame([("10001", "0x1")], "tag string, guid string")
     def report(day, n):

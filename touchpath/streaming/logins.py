@@ -1,20 +1,16 @@
 """First logins as keyed state of a stream.
 
 Spark keeps, per device and customer, the earliest time of each app family and the earliest
-login of all. A batch that lowers one of them emits the key's new row; later batches are
-compared with the state, no stored table is read again. The result does not depend on how
-files fall into batches. Rows of one key pass its state in Arrow batches, so a busy device
-costs time in one task but no memory.
+login of all, as a streaming aggregation: a batch is summed up before it is dealt by key,
+meets the state there, and emits the new rows of the keys it has logins of. Later batches
+are compared with the state, no stored table is read again. The result does not depend on
+how files fall into batches, and a busy device is one row per task and batch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from touchpath import config as c
 from touchpath.plans import app
@@ -24,30 +20,15 @@ STATE = "savings bigint, fund bigint, first bigint, flag int"
 UPDATE = f"deviceid string, custno string, {STATE}"
 
 
-def _least(*values: int | None) -> int | None:
-    known = [int(v) for v in values if v is not None and not pd.isna(v)]
-    return min(known, default=None)
-
-
-def _earliest(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    old = state.get if state.exists else (None, None, None, None)
-    savings, fund, first, flag = old
-    for rows in batches:
-        savings = _least(savings, rows.loc[rows["proid"].isin(c.APP_SAVINGS), "ts"].min())
-        fund = _least(fund, rows.loc[rows["proid"].isin(c.APP_FUND), "ts"].min())
-        at, platform = min(zip(rows["ts"].tolist(), rows["flag"].tolist()))
-        first, flag = (at, platform) if first is None else min((first, flag), (at, platform))
-    new = (savings, fund, first, flag)
-    if new != tuple(old):
-        state.update(new)
-        yield pd.DataFrame([(*key, *new)], columns=[column.split()[0] for column in UPDATE.split(", ")]).astype(
-            {"savings": "Int64", "fund": "Int64"})
-
-
 def earliest_logins(rows: DataFrame, decrypt=None) -> DataFrame:
-    """Changed rows of the keyed state, for a stream in update mode."""
-    return app.logins(rows, decrypt).select("deviceid", "custno", "proid", "ts", "flag").groupBy("deviceid", "custno").applyInPandasWithState(
-        _earliest, UPDATE, STATE, "update", GroupStateTimeout.NoTimeout)
+    """New rows of the keyed state, for a stream in update mode."""
+    def earliest(products: tuple[str, ...]) -> Column:
+        return F.min(F.when(F.col("proid").isin(*products), F.col("ts")))
+
+    state = app.logins(rows, decrypt).groupBy("deviceid", "custno").agg(
+        earliest(c.APP_SAVINGS).alias("savings"), earliest(c.APP_FUND).alias("fund"),
+        F.min(F.struct("ts", "flag")).alias("least"))
+    return state.select("deviceid", "custno", "savings", "fund", F.col("least.ts").alias("first"), "least.flag")
 
 
 def store_updates(updates: DataFrame, path: str):
